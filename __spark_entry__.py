@@ -83,7 +83,7 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def q_scan_full(spark: SparkSession, sf: str) -> DataFrame:
-    register(spark, sf)
+    register(spark, sf, "fact_production_orders")
     return scan_full(spark, TableSpec("fact_production_orders"))
 
 
@@ -92,7 +92,7 @@ QUERY_TEXT = """select order_id, machine_id, status, target_qty, updated_at
 
 
 def q_scan_query(spark: SparkSession, sf: str) -> DataFrame:
-    register(spark, sf)
+    register(spark, sf, "fact_production_orders")
     return scan_query(spark, TableSpec("open_orders", query=f"{QUERY_TEXT} ; "))
 
 
@@ -111,10 +111,11 @@ def q_watermark_advance(spark: SparkSession, sf: str) -> DataFrame:
 
 def _landed(spark: SparkSession, sf: str, layout: Layout, step: Callable[[], object]) -> DataFrame:
     orders = view(spark, sf, "fact_production_orders")
+    changes = view(spark, sf, "order_changes")
     path = layout.landing("orders")
     land(orders, path, 0)
     step()
-    land(spark.table("order_changes"), path, 1)
+    land(changes, path, 1)
     step()
     return orders
 
@@ -165,7 +166,9 @@ def q_deterministic_sort(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_concat_strict(spark: SparkSession, sf: str) -> DataFrame:
-    return concat_strict(view(spark, sf, "fact_production_orders"), spark.table("order_changes"))
+    return concat_strict(
+        view(spark, sf, "fact_production_orders"), view(spark, sf, "order_changes")
+    )
 
 
 # ---- versioned tables -----------------------------------------------------------------------------
@@ -174,7 +177,7 @@ def q_concat_strict(spark: SparkSession, sf: str) -> DataFrame:
 def _log_table(spark: SparkSession, sf: str) -> str:
     path = Layout(work_dir(spark)).table("orders")
     append_version(view(spark, sf, "fact_production_orders"), path, 0)
-    append_version(spark.table("order_changes"), path, 1)
+    append_version(view(spark, sf, "order_changes"), path, 1)
     return path
 
 
@@ -231,10 +234,9 @@ def _states(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def _warehouse(spark: SparkSession, sf: str, step: Callable[[Layout, int | None], object]) -> Layout:
     """Load both order versions one after the other, with ``step`` after each."""
     layout = Layout(work_dir(spark))
-    register(spark, sf)
     path = layout.warehouse("fact_production_orders")
     for v, name in enumerate(("fact_production_orders", "order_changes")):
-        rows = conform(with_version(spark.table(name), v), "fact_production_orders")
+        rows = conform(with_version(view(spark, sf, name), v), "fact_production_orders")
         append_version(rows, path, v)
         step(layout, v - 1 if v else None)
     return layout
@@ -305,22 +307,20 @@ def q_threshold_band(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---- whole pipeline -------------------------------------------------------------------------------
 
-SPECS = [
-    TableSpec(t)
-    for t in ("dim_machines", "dim_sensors", "fact_production_orders", "fact_sensor_readings")
-]
+TABLES = ("dim_machines", "dim_sensors", "fact_production_orders", "fact_sensor_readings")
+SPECS = [TableSpec(t) for t in TABLES]
 
 
 def q_pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(work_dir(spark))
-    register(spark, sf)
+    register(spark, sf, *TABLES)
     run_pipeline(spark, SPECS, layout)
     return panel_machine(read_states(spark, layout, "mv_machine_daily"))
 
 
 def q_pipeline_replay(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(work_dir(spark))
-    register(spark, sf)
+    register(spark, sf, *TABLES)
     run_pipeline(spark, SPECS, layout)
     run_pipeline(spark, SPECS, layout)
     return panel_anomaly(read_states(spark, layout, "mv_anomaly_daily"))
@@ -329,7 +329,7 @@ def q_pipeline_replay(spark: SparkSession, sf: str) -> DataFrame:
 def _changed_source(spark: SparkSession, sf: str) -> Layout:
     """Run over the orders, change the source, run again."""
     layout = Layout(work_dir(spark))
-    register(spark, sf)
+    register(spark, sf, "orders_changed")
     name = "fact_production_orders"
     run_pipeline(spark, [TableSpec(name, query=f"select * from {name}")], layout)
     run_pipeline(spark, [TableSpec(name, query="select * from orders_changed")], layout)

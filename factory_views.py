@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ("supplier", "orders", "events", "lineitem")
-
 DIM_MACHINES = """
 select 'MCH-'||lpad(cast(s_suppkey as string),6,'0') as machine_id, s_name as machine_name,
  'TYPE-'||cast(s_nationkey as string) as machine_type,
@@ -79,18 +77,29 @@ VIEWS = {
     "orders_changed": ORDERS_CHANGED,
     "orders_log": ORDERS_LOG,
 }
+READS = {
+    "dim_machines": ("supplier",),
+    "dim_sensors": ("events",),
+    "fact_sensor_readings": ("events",),
+    "fact_production_orders": ("orders",),
+    "order_changes": ("fact_production_orders",),
+    "orders_changed": ("fact_production_orders",),
+    "orders_log": ("fact_production_orders", "order_changes"),
+}
 
 
-def register(spark: SparkSession, sf_dir: str) -> None:
-    """Create temporary views of the supplied tables and of every factory table."""
-    for name in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
-    for name, text in VIEWS.items():
-        spark.sql(text.format(ts="timestamp_ntz")).createOrReplaceTempView(name)
+def register(spark: SparkSession, sf_dir: str, *names: str) -> None:
+    """Create temporary views of the named tables and of those they read."""
+    for name in names:
+        if name in VIEWS:
+            register(spark, sf_dir, *READS[name])
+            spark.sql(VIEWS[name].format(ts="timestamp_ntz")).createOrReplaceTempView(name)
+        else:
+            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    register(spark, sf_dir)
+    register(spark, sf_dir, name)
     return spark.table(name)
 
 

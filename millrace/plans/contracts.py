@@ -102,7 +102,13 @@ CONTRACTS: dict[str, Contract] = {
 }
 
 # Fillers that only make the type NOT NULL to the optimizer: the check before them always raises first.
-_FILLER = {"string": "", "int": "0", "bigint": "0", "decimal(10,4)": "0"}
+_FILLER = {
+    "string": "''",
+    "int": "0",
+    "bigint": "0L",
+    "decimal(10,4)": "0.0000BD",
+    "timestamp_ntz": "timestamp_ntz'1970-01-01 00:00:00'",
+}
 
 
 def _checked(table: str, field: T.StructField) -> Column:
@@ -111,7 +117,7 @@ def _checked(table: str, field: T.StructField) -> Column:
     if field.nullable:
         return c.alias(field.name)
     problem = F.raise_error(F.lit(f"NULL in {table}.{field.name}")).cast(dtype)
-    filler = F.lit(_FILLER.get(dtype.simpleString(), "1970-01-01")).cast(dtype)
+    filler = F.expr(_FILLER[dtype.simpleString()]).cast(dtype)
     return F.coalesce(c, problem, filler).alias(field.name)
 
 

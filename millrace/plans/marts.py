@@ -20,9 +20,9 @@ from millrace.operators.states import (
     total,
 )
 from millrace.plans.contracts import CONTRACTS
-from millrace.sources.files import exists
+from millrace.sources.files import exists, shuffles_sized_for, size_of
 from millrace.sources.layout import Layout
-from millrace.sources.versioned import added_since, as_of
+from millrace.sources.versioned import added_since, as_of, committed_versions, version_paths
 
 ORDERS = "fact_production_orders"
 READINGS = "fact_sensor_readings"
@@ -100,8 +100,7 @@ def marts_of(table: str) -> list[str]:
 
 def read_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """Every loaded row version of a warehouse table, under its contract."""
-    loaded = as_of(spark, layout.warehouse(name))
-    return loaded.select(*CONTRACTS[name].schema.fieldNames())
+    return as_of(spark, layout.warehouse(name), schema=CONTRACTS[name].schema)
 
 
 def latest_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
@@ -110,7 +109,9 @@ def latest_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 
 
 def _state_schema(spark: SparkSession, mart: MartSpec) -> T.StructType:
-    return partial(spark.createDataFrame([], CONTRACTS[mart.source].schema), mart).schema
+    fields = CONTRACTS[mart.source].schema.fields
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    return partial(empty, mart).schema
 
 
 def _write_states(states: DataFrame, path: str, overwrite: str) -> None:
@@ -143,14 +144,18 @@ def build_mart(
     if not replace and exists(spark, path):
         raise FileExistsError(f"mart {name} exists; pass replace=True to rebuild it")
     read = read_table if mode == "append" else latest_table
-    _write_states(partial(read(spark, layout, mart.source), mart), path, "static")
+    with shuffles_sized_for(spark, size_of(spark, [layout.warehouse(mart.source)])):
+        _write_states(partial(read(spark, layout, mart.source), mart), path, "static")
 
 
 def refresh_mart(spark: SparkSession, layout: Layout, name: str, since: int | None) -> None:
     """Add the states of versions newer than ``since``; a replay overwrites the same partitions."""
     mart = MARTS[name]
-    fresh = added_since(spark, layout.warehouse(mart.source), since)
-    _write_states(partial(fresh, mart), layout.mart(name), "dynamic")
+    table = layout.warehouse(mart.source)
+    fresh = added_since(spark, table, since, schema=CONTRACTS[mart.source].schema)
+    paths = version_paths(table, committed_versions(spark, table, since))
+    with shuffles_sized_for(spark, size_of(spark, paths)):
+        _write_states(partial(fresh, mart), layout.mart(name), "dynamic")
 
 
 def read_states(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> DataFrame:

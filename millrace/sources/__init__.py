@@ -14,6 +14,7 @@ from millrace.sources.versioned import (
     committed_versions,
     current_version,
     read_version,
+    version_paths,
     versions,
     with_version,
 )
@@ -38,6 +39,7 @@ __all__ = [
     "scan_landing",
     "scan_query",
     "source_relation",
+    "version_paths",
     "versions",
     "with_version",
     "write_progress",

@@ -7,10 +7,17 @@ it complete. Only directory names are listed here, never data.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: stored bytes one shuffle partition should take.
+BYTES_PER_PARTITION = 1 << 30
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 
 def _fs(spark: SparkSession, path: str):
     if not hasattr(spark, "_jvm"):
@@ -75,3 +82,28 @@ def write_numbered(df: DataFrame, path: str, label: str, n: int) -> int:
         fs, p = _fs(df.sparkSession, target)
         fs.delete(p, True)
     return rows
+
+
+def size_of(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Stored bytes below ``paths``."""
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += fs.getContentSummary(p).getLength()
+    return total
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
+    """Run jobs with enough shuffle partitions for their input, never fewer than configured.
+
+    Adaptive execution joins partitions that turn out small but cannot split a hash or range shuffle
+    that was planned too coarse, as one backfill of a long history would be under a daily setting.
+    """
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    needed = -(-stored_bytes // BYTES_PER_PARTITION)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(max(int(before), needed)))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)

@@ -52,12 +52,8 @@ def read_version(spark: SparkSession, path: str, v: int) -> DataFrame:
     return with_version(spark.read.parquet(numbered(path, VERSION, v)), v)
 
 
-def _read(spark: SparkSession, path: str, current: int, dirs: list[int] | None) -> DataFrame:
-    schema = _file_schema(spark, path, current).add(VERSION, T.LongType())
-    reader = spark.read.schema(schema).option("basePath", path)
-    if dirs is None:
-        return reader.parquet(path)
-    return reader.parquet(*[numbered(path, VERSION, v) for v in dirs])
+def version_paths(path: str, numbers: list[int]) -> list[str]:
+    return [numbered(path, VERSION, v) for v in numbers]
 
 
 def _require_current(spark: SparkSession, path: str) -> int:
@@ -67,15 +63,31 @@ def _require_current(spark: SparkSession, path: str) -> int:
     return current
 
 
-def as_of(spark: SparkSession, path: str, v: int | None = None) -> DataFrame:
+def _read(
+    spark: SparkSession, path: str, current: int, schema: T.StructType | None, dirs: list[str]
+) -> DataFrame:
+    # The version column is declared long: inference would make it int.
+    fields = (schema or _file_schema(spark, path, current)).fields
+    columns = [f for f in fields if f.name != VERSION]
+    full = T.StructType([*columns, T.StructField(VERSION, T.LongType())])
+    return spark.read.schema(full).option("basePath", path).parquet(*dirs)
+
+
+def as_of(
+    spark: SparkSession, path: str, v: int | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """Rows of versions up to ``v``, by default up to the newest committed one."""
     current = _require_current(spark, path)
     upto = current if v is None else min(v, current)
-    return _read(spark, path, current, None).filter(F.col(VERSION) <= upto)
+    return _read(spark, path, current, schema, [path]).filter(F.col(VERSION) <= upto)
 
 
 def added_since(
-    spark: SparkSession, path: str, last_version: int | None, upto: int | None = None
+    spark: SparkSession,
+    path: str,
+    last_version: int | None,
+    upto: int | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Rows added in versions ``last_version < v <= upto``, all up to ``upto`` without a last version.
 
@@ -85,8 +97,8 @@ def added_since(
     current = _require_current(spark, path)
     end = current if upto is None else min(upto, current)
     if last_version is None:
-        return as_of(spark, path, end)
+        return as_of(spark, path, end, schema)
     fresh = [v for v in committed_versions(spark, path, last_version) if v <= end]
-    if not fresh:
-        return _read(spark, path, current, [current]).limit(0)
-    return _read(spark, path, current, fresh)
+    dirs = version_paths(path, fresh or [current])
+    rows = _read(spark, path, current, schema, dirs)
+    return rows if fresh else rows.limit(0)

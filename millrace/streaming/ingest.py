@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from millrace.operators.checks import require_same_schema
 from millrace.operators.clean import clean
-from millrace.sources.landing import landed, landed_schema
+from millrace.sources.files import numbered, shuffles_sized_for, size_of
+from millrace.sources.landing import SEQ, landed, landed_schema
 from millrace.sources.layout import Layout, clean_name
 from millrace.sources.progress import read_last_seq, write_last_seq
 from millrace.sources.versioned import append_version
@@ -43,10 +44,12 @@ def run_transform(spark: SparkSession, table: str, layout: Layout) -> int:
     schema = landed_schema(spark, landing, seqs[-1])
     for seq in seqs[:-1]:
         require_same_schema(schema, landed_schema(spark, landing, seq), f"landed batch {seq}")
+    stored = size_of(spark, [numbered(landing, SEQ, s) for s in seqs])
     counts: list[int] = []
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        counts.append(append_version(clean(batch), target, batch_id))
+        with shuffles_sized_for(batch.sparkSession, stored):
+            counts.append(append_version(clean(batch), target, batch_id))
 
     query = (
         scan_new_files(spark, landing, schema)
