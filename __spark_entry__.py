@@ -148,7 +148,7 @@ def q_cast_time_columns(spark: SparkSession, sf: str) -> DataFrame:
 def q_to_naive_utc(spark: SparkSession, sf: str) -> DataFrame:
     zoned = view(spark, sf, "fact_sensor_readings").selectExpr(
         "reading_id",
-        "cast(cast(reading_timestamp as string) || '+02:00' as timestamp) as reading_timestamp",
+        "cast(cast(reading_timestamp as string) || '+02:00' as timestamp_ltz) as reading_timestamp",
         "created_at",
     )
     return to_naive_utc(zoned)

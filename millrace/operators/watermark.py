@@ -14,7 +14,7 @@ from millrace.functions.time import naive_utc
 def mark_literal(value: datetime, dtype: T.DataType) -> Column:
     """A naive UTC mark as a literal of the column's own timestamp type, so filters push down."""
     if isinstance(dtype, T.TimestampType):
-        return F.lit(value.isoformat(sep=" ") + "+00:00").cast("timestamp")
+        return F.lit(value.isoformat(sep=" ") + "+00:00").cast(dtype)
     if isinstance(dtype, T.TimestampNTZType):
         return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
     raise TypeError(f"watermark column must be a timestamp, not {dtype.simpleString()}")

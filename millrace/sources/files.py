@@ -14,6 +14,8 @@ from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the setting that makes a finished job leave its marker; some clusters turn it off.
+MARK_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 # Fixed value: stored bytes one shuffle partition should take.
 BYTES_PER_PARTITION = 1 << 30
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
@@ -76,7 +78,8 @@ def write_numbered(df: DataFrame, path: str, label: str, n: int) -> int:
     """
     target = numbered(path, label, n)
     counter = Observation()
-    df.observe(counter, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
+    counted = df.observe(counter, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option(MARK_SUCCESS, "true").parquet(target)
     rows = counter.get["rows"]
     if rows == 0:
         fs, p = _fs(df.sparkSession, target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.watermark import mark_literal
-from millrace.sources.files import newest, numbered
+from millrace.sources.files import MARK_SUCCESS, newest, numbered
 
 SEQ = "seq"
 # Fixed value: the default JSON pattern would cut the mark to milliseconds.
@@ -35,7 +35,8 @@ def _write(spark: SparkSession, path: str, seq: int, fields: dict[str, Column])
         *[c.alias(name) for name, c in fields.items()], now.alias("updated_at")
     )
     target = numbered(path, SEQ, seq)
-    record.write.mode("overwrite").option("timestampNTZFormat", NTZ_FORMAT).json(target)
+    writer = record.write.mode("overwrite").option(MARK_SUCCESS, "true")
+    writer.option("timestampNTZFormat", NTZ_FORMAT).json(target)
 
 
 def _read(spark: SparkSession, path: str, fields: str) -> tuple[int, Row] | None:

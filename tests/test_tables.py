@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators import clean, latest_by_key
 from millrace.sources import (
     JdbcSource,
     TableSpec,
@@ -62,6 +63,33 @@ def test_no_rows_make_no_version(spark, table):
     assert not os.path.exists(f"{table}/_delta_version=3")
 
 
+@pytest.mark.parametrize(
+    "empty",
+    [
+        lambda df: df.limit(0),
+        lambda df: df.filter(F.lit(False)),
+        lambda df: clean(df.filter("id < 0")),
+        lambda df: clean(df.filter(F.rand() < -1)),
+        lambda df: latest_by_key(df.filter("id < 0").withColumn("_delta_version", F.lit(1)), ["id"]),
+    ],
+)
+def test_emptiness_is_seen_however_the_plan_folds(spark, table, empty):
+    assert append_version(empty(spark.range(100)), table, 3) == 0
+    assert current_version(spark, table) == 2
+
+
+def test_marker_is_written_where_the_cluster_turns_it_off(spark, tmp_path):
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    spark.conf.set(name, "false")
+    try:
+        append_version(spark.range(3), str(tmp_path / "t"), 0)
+        write_progress(spark, str(tmp_path / "state"), "t", "k", 0, 3)
+    finally:
+        spark.conf.unset(name)
+    assert current_version(spark, str(tmp_path / "t")) == 0
+    assert read_progress(spark, str(tmp_path / "state")).rows == 3
+
+
 def test_schema_is_enforced(spark, table):
     with pytest.raises(ValueError, match="schema mismatch"):
         append_version(spark.range(3).withColumn("x", F.lit(1)), table, 3)
