@@ -101,7 +101,8 @@ CONTRACTS: dict[str, Contract] = {
     )
 }
 
-# Fillers that only make the type NOT NULL to the optimizer: the check before them always raises first.
+# Fillers that only make the column NOT NULL to the optimizer: the check before them always raises
+# first. A type without one is checked all the same.
 _FILLER = {
     "string": "''",
     "int": "0",
@@ -117,8 +118,9 @@ def _checked(table: str, field: T.StructField) -> Column:
     if field.nullable:
         return c.alias(field.name)
     problem = F.raise_error(F.lit(f"NULL in {table}.{field.name}")).cast(dtype)
-    filler = F.expr(_FILLER[dtype.simpleString()]).cast(dtype)
-    return F.coalesce(c, problem, filler).alias(field.name)
+    filler = _FILLER.get(dtype.simpleString())
+    fillers = [] if filler is None else [F.expr(filler).cast(dtype)]
+    return F.coalesce(c, problem, *fillers).alias(field.name)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:

@@ -8,11 +8,13 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators import aggregate, latest_by_key, merge, partial
 from millrace.plans import (
     CONTRACTS,
     MARTS,
+    Contract,
     build_mart,
     conform,
     panel_anomaly,
@@ -190,6 +192,17 @@ def test_conform_checks(spark, readings):
         conform(readings.withColumn("reading_value", F.lit("ten")), name).collect()
 
 
+def test_contracts_can_be_added(spark, monkeypatch):
+    schema = T.StructType(
+        [T.StructField("k", T.LongType(), False), T.StructField("share", T.DoubleType(), False)]
+    )
+    monkeypatch.setitem(CONTRACTS, "shares", Contract("shares", "k", schema))
+    df = spark.createDataFrame([(1, "0.5")], "k int, share string")
+    assert tuples(conform(df, "shares")) == [(1, 0.5)]
+    with pytest.raises(PySparkException, match="NULL in shares.share"):
+        conform(df.withColumn("share", F.lit(None)), "shares").collect()
+
+
 row = st.tuples(
     st.sampled_from(["S1", "S2", None]),
     st.decimals(min_value=-999, max_value=999, places=4),

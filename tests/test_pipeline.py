@@ -191,6 +191,25 @@ def test_without_a_key_ties_of_the_mark_are_not_read_again(spark, layout):
     assert run_extract(spark, TableSpec("log"), layout) == 1
 
 
+def test_increment_from_many_files_lands_in_few(spark, layout, tmp_path):
+    def write(start):
+        df = spark.range(start, start + 400).select(
+            F.col("id").alias("k"),
+            F.timestamp_add("SECOND", F.col("id"), F.lit("2026-05-01").cast("timestamp_ntz")).alias(
+                "updated_at"
+            ),
+        )
+        df.repartition(40).write.mode("append").parquet(str(tmp_path / "source"))
+        spark.read.parquet(str(tmp_path / "source")).createOrReplaceTempView("many_files")
+
+    spec = TableSpec("many_files", "k")
+    for seq, start in enumerate((0, 400)):
+        write(start)
+        assert run_extract(spark, spec, layout) == 400
+        files = [f for f in os.listdir(f"{layout.landing('many_files')}/seq={seq}") if f.endswith("parquet")]
+        assert seq == 0 or len(files) == 1
+
+
 def test_rejected_sources(spark, layout):
     spark.range(1).createOrReplaceTempView("plain")
     with pytest.raises(ValueError, match="updated_at"):
