@@ -20,7 +20,7 @@ from millrace.operators.states import (
     total,
 )
 from millrace.plans.contracts import CONTRACTS
-from millrace.sources.files import exists, shuffles_sized_for, size_of
+from millrace.sources.files import exists, shuffles_sized_for, size_of, write_numbered
 from millrace.sources.layout import Layout
 from millrace.sources.versioned import added_since, as_of, committed_versions, version_paths
 
@@ -149,13 +149,23 @@ def build_mart(
 
 
 def refresh_mart(spark: SparkSession, layout: Layout, name: str, since: int | None) -> None:
-    """Add the states of versions newer than ``since``; a replay overwrites the same partitions."""
+    """Add the states of versions newer than ``since``; a replay overwrites the same partitions.
+
+    One new version, the usual case, is written straight into its directory; several are aggregated in
+    one pass and then gathered by version.
+    """
     mart = MARTS[name]
-    table = layout.warehouse(mart.source)
-    fresh = added_since(spark, table, since, schema=CONTRACTS[mart.source].schema)
-    paths = version_paths(table, committed_versions(spark, table, since))
-    with shuffles_sized_for(spark, size_of(spark, paths)):
-        _write_states(partial(fresh, mart), layout.mart(name), "dynamic")
+    table, path = layout.warehouse(mart.source), layout.mart(name)
+    fresh = committed_versions(spark, table, since)
+    if not fresh:
+        return
+    rows = added_since(spark, table, since, schema=CONTRACTS[mart.source].schema)
+    states = partial(rows, mart)
+    with shuffles_sized_for(spark, size_of(spark, version_paths(table, fresh))):
+        if len(fresh) == 1:
+            write_numbered(states.drop(VERSION), path, VERSION, fresh[0])
+        else:
+            _write_states(states, path, "dynamic")
 
 
 def read_states(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> DataFrame:

@@ -45,11 +45,16 @@ def _key(spec: TableSpec) -> str | None:
 
 
 def _advance(
-    spark: SparkSession, spec: TableSpec, layout: Layout, prior: Watermark | None, seqs: list[int]
+    spark: SparkSession,
+    spec: TableSpec,
+    layout: Layout,
+    prior: Watermark | None,
+    seqs: list[int],
+    schema: T.StructType | None = None,
 ) -> Watermark | None:
     """Fold the mark from the landed rows themselves, so it never covers a row that was not landed."""
     key = _key(spec)
-    rows = batches(spark, layout.landing(spec.name), seqs)
+    rows = batches(spark, layout.landing(spec.name), seqs, schema)
     before = (prior.value, prior.unique) if prior else None
     value, unique = advance_watermark(rows, UPDATED_AT, key, before).first()
     state = layout.state("extract", spec.name)
@@ -83,7 +88,7 @@ def run_extract(spark: SparkSession, spec: TableSpec, layout: Layout) -> int:
         fresh = fresh.hint("rebalance", F.col(key or UPDATED_AT))
     rows = land(fresh, landing, seq)
     if rows:
-        _advance(spark, spec, layout, mark, [seq])
+        _advance(spark, spec, layout, mark, [seq], fresh.schema)
     return rows
 
 

@@ -24,9 +24,12 @@ def landed_schema(spark: SparkSession, path: str, seq: int) -> T.StructType:
     return spark.read.parquet(numbered(path, SEQ, seq)).schema
 
 
-def batches(spark: SparkSession, path: str, seqs: list[int]) -> DataFrame:
-    """Rows of the given batches; no other directory is listed."""
-    return spark.read.parquet(*[numbered(path, SEQ, s) for s in seqs])
+def batches(
+    spark: SparkSession, path: str, seqs: list[int], schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the given batches; no other directory is listed, and a known schema opens no footer."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(*[numbered(path, SEQ, s) for s in seqs])
 
 
 def scan_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
