@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from millrace.functions.time import micros_to_ntz
 
 # Fixed value: rows per fetch.
 FETCH_SIZE = 100_000
+LOOK_BACK = timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -73,9 +74,15 @@ def source_relation(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def bounds_text(spec: TableSpec, column: str, since: datetime | None) -> str:
-    """One-row SELECT, run by the database, of the window end and the range to split."""
+    """One-row SELECT, run by the database, of the window end and the range to split.
+
+    It looks back a day past ``since``: a database compares the literal in its own session zone when
+    the column is zoned, and rows that are not new do no harm here.
+    """
     split = spec.jdbc.partition_column or column
-    where = "" if since is None else f" WHERE {column} >= TIMESTAMP '{since.isoformat(sep=' ')}'"
+    where = ""
+    if since is not None:
+        where = f" WHERE {column} >= TIMESTAMP '{(since - LOOK_BACK).isoformat(sep=' ')}'"
     return (
         f"SELECT max({column}) AS hi, min({split}) AS split_lo, max({split}) AS split_hi "
         f"FROM ({select_text(spec)}) AS src{where}"
@@ -107,6 +114,10 @@ def windowed_jdbc(spark: SparkSession, spec: TableSpec, column: str, since: date
         F.col("split_hi").cast("string"),
         _micros(bounds, "hi"),
     ).first()
+    naive = isinstance(bounds.schema["hi"].dataType, T.TimestampNTZType)
+    by_time = spec.jdbc.partition_column in (None, column)
+    if since is not None and by_time and naive and hi is not None and hi >= _python_micros(since):
+        lo = since.isoformat(sep=" ")
     dbtable = _derived(select_text(spec))
     df = _jdbc(spark, spec.jdbc, dbtable, **split_options(spec.jdbc, column, lo, up))
     if hi is None:
@@ -118,6 +129,10 @@ def windowed_jdbc(spark: SparkSession, spec: TableSpec, column: str, since: date
     return df.filter(inside | F.col(column).isNull()) if since is None else df.filter(inside)
 
 
+def _python_micros(value: datetime) -> int:
+    return (value - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+
+
 def _micros(df: DataFrame, column: str) -> Column:
     c = F.col(column)
     if isinstance(df.schema[column].dataType, T.TimestampNTZType):

@@ -65,6 +65,15 @@ def test_ties_of_the_mark_are_read_and_ranges_follow_the_window(spark, layout, d
     assert second["numPartitions"] == 4 and second["partitionColumn"] == "updated_at"
 
 
+def test_newest_rows_may_have_gone(spark, layout, database):
+    put, log = database
+    put([(1, at(1)), (2, at(2))])
+    run_extract(spark, SPEC, layout)
+    put([(1, at(1))])
+    assert run_extract(spark, SPEC, layout) == 0
+    assert log["reads"][1]["lowerBound"] <= log["reads"][1]["upperBound"]
+
+
 def test_sources_without_times(spark, layout, database):
     put, log = database
     put([(1, None)])

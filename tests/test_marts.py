@@ -161,6 +161,28 @@ def test_refresh_by_version_equals_one_build_and_survives_replay(spark, log, lay
     assert read_states(spark, layout, "mv_production_daily").count() == 3
 
 
+def test_version_without_mart_rows(spark, log, layout):
+    path = layout.warehouse("fact_production_orders")
+    rows = log.filter("machine_id is null").withColumn("_delta_version", F.lit(0).cast("long"))
+    append_version(conform(rows, "fact_production_orders"), path, 0)
+    refresh_mart(spark, layout, "mv_machine_daily", None)
+    assert read_mart(spark, layout, "mv_machine_daily").count() == 0
+    load(log, layout, 1)
+    refresh_mart(spark, layout, "mv_machine_daily", 0)
+    assert tuples(read_mart(spark, layout, "mv_machine_daily")) == [("M1", D1, 1, 100, 95)]
+
+
+def test_several_versions_in_one_refresh(spark, log, layout):
+    load(log, layout, 0)
+    load(log, layout, 1)
+    for _ in range(2):
+        refresh_mart(spark, layout, "mv_production_daily", None)
+    assert read_states(spark, layout, "mv_production_daily").count() == 3
+    assert sorted(tuples(read_mart(spark, layout, "mv_production_daily"))) == sorted(
+        tuples(aggregate(log, MARTS["mv_production_daily"]))
+    )
+
+
 def test_build_modes_and_replace(spark, log, layout):
     load(log, layout, 0)
     build_mart(spark, layout, "mv_production_daily")

@@ -173,7 +173,7 @@ def test_jdbc_texts():
     assert bounds_text(custom, "updated_at", datetime(2026, 5, 1, 0, 0, 0, 7)) == (
         "SELECT max(updated_at) AS hi, min(updated_at) AS split_lo, max(updated_at) AS split_hi "
         "FROM (select a, updated_at from b) AS src "
-        "WHERE updated_at >= TIMESTAMP '2026-05-01 00:00:00.000007'"
+        "WHERE updated_at >= TIMESTAMP '2026-04-30 00:00:00.000007'"
     )
     assert split_options(jdbc, "updated_at", "a", "b") == {
         "partitionColumn": "updated_at",
