@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -58,6 +57,7 @@ from millrace.sources import (  # noqa: E402
     versions,
     with_version,
 )
+from millrace.sources.files import session_dir  # noqa: E402
 from millrace.streaming import run_transform  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +76,7 @@ def work_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    return session_dir(spark, shared)
 
 
 # ---- scans and extraction -------------------------------------------------------------------------

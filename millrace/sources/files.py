@@ -7,6 +7,7 @@ it complete. Only directory names are listed here, never data.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
@@ -85,6 +86,15 @@ def write_numbered(df: DataFrame, path: str, label: str, n: int) -> int:
     return rows
 
 
+def session_dir(spark: SparkSession, parent: str) -> str:
+    """A new folder below ``parent`` that is deleted when the driver ends."""
+    path = f"{parent.rstrip('/')}/millrace-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
 def size_of(spark: SparkSession, paths: Iterable[str]) -> int:
     """Stored bytes below ``paths``."""
     total = 0

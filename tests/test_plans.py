@@ -1,15 +1,24 @@
 """Physical plans: what is pushed down, what is shuffled, and how hot keys spread."""
 
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+import millrace.sources.files as files
 from factory_views import view
-from millrace.operators import deterministic_sort, drop_exact_duplicates, latest_by_key, scan_since
+from millrace.operators import (
+    advance_watermark,
+    deterministic_sort,
+    drop_exact_duplicates,
+    latest_by_key,
+    scan_since,
+)
 from millrace.plans import build_mart, conform, panel_machine, read_states, time_range
-from millrace.sources import append_version, as_of, with_version
+from millrace.sources import append_version, as_of, land, with_version
+from millrace.streaming import run_transform
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,6 +53,36 @@ def test_compound_mark_is_pushed_down(spark):
     assert "Or(GreaterThan(o_orderdate" in pushed and "GreaterThan(o_orderkey,7)" in pushed
 
 
+def test_mark_reads_two_columns_and_sends_one_row_per_task(spark):
+    text = plan(advance_watermark(view(spark, SF, "orders"), "o_orderdate", "o_orderkey"))
+    assert line(text, "ReadSchema") == "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>"
+    assert "IsNotNull(o_orderdate)" in line(text, "PushedFilters") and "partial_max" in text
+
+
+def test_transform_plans_shuffles_for_its_input(spark, layout, monkeypatch):
+    monkeypatch.setattr(files, "BYTES_PER_PARTITION", 500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        land(spark.range(2000), layout.landing("t"), 0)
+        assert run_transform(spark, "t", layout) == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    written = os.listdir(f"{layout.table('t')}/_delta_version=0")
+    assert len([f for f in written if f.endswith(".parquet")]) > 4
+    assert spark.conf.get(files.SHUFFLE_PARTITIONS) == "4"
+
+
+def test_work_folder_needs_a_shared_parent(spark, monkeypatch):
+    assert registry.work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+    class Cluster:
+        conf = type("Conf", (), {"get": staticmethod(lambda *_: None)})
+        sparkContext = type("Context", (), {"master": "yarn"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        registry.work_dir(Cluster)
+
+
 def test_version_filter_prunes_directories(spark, tmp_path):
     path = str(tmp_path / "t")
     for v in range(2):
