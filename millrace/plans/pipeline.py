@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from threading import Event
 from typing import TypeVar
 
 from pyspark.sql import SparkSession
@@ -127,9 +129,25 @@ def run_load(spark: SparkSession, table: str, layout: Layout) -> int:
     return rows
 
 
-def run_stage(stage: Callable[[S], int], tables: Iterable[S]) -> list[int]:
-    """Run one stage over its tables in order; the first failure stops it."""
-    return [stage(t) for t in tables]
+def run_stage(stage: Callable[[S], int], tables: Iterable[S], parallel: int = 1) -> list[int]:
+    """Run one stage over its tables, ``parallel`` at a time; the results keep the list's order.
+
+    Tables do not depend on each other, so small ones use executors that a large one leaves idle. After
+    a failure no further table is started; it is raised once the running ones have ended.
+    """
+    failed = Event()
+
+    def run(table: S) -> int:
+        if failed.is_set():
+            return 0
+        try:
+            return stage(table)
+        except BaseException:
+            failed.set()
+            raise
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return [f.result() for f in [pool.submit(run, t) for t in tables]]
 
 
 def check_specs(specs: list[TableSpec]) -> None:
@@ -140,7 +158,9 @@ def check_specs(specs: list[TableSpec]) -> None:
         raise ValueError(f"tables share a name: {', '.join(clash)}")
 
 
-def run_pipeline(spark: SparkSession, specs: list[TableSpec], layout: Layout) -> dict[str, list[int]]:
+def run_pipeline(
+    spark: SparkSession, specs: list[TableSpec], layout: Layout, parallel: int = 4
+) -> dict[str, list[int]]:
     """Extract, transform and load in turn; a stage starts only when the one before succeeded.
 
     A table for which nothing was ever landed has no version and is left out of the load. Returns
@@ -149,9 +169,9 @@ def run_pipeline(spark: SparkSession, specs: list[TableSpec], layout: Layout) ->
     check_specs(specs)
     names = [s.name for s in specs]
     done = {
-        "extract": run_stage(lambda s: run_extract(spark, s, layout), specs),
-        "transform": run_stage(lambda n: run_transform(spark, n, layout), names),
+        "extract": run_stage(lambda s: run_extract(spark, s, layout), specs, parallel),
+        "transform": run_stage(lambda n: run_transform(spark, n, layout), names, parallel),
     }
     filled = [n for n in names if current_version(spark, layout.table(n)) is not None]
-    done["load"] = run_stage(lambda n: run_load(spark, n, layout), filled)
+    done["load"] = run_stage(lambda n: run_load(spark, n, layout), filled, parallel)
     return done

@@ -7,6 +7,7 @@ it complete. Only directory names are listed here, never data.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -104,17 +105,36 @@ def size_of(spark: SparkSession, paths: Iterable[str]) -> int:
     return total
 
 
+_sizing = threading.Lock()
+# Partition counts asked for by jobs now running, and the configured one, per session.
+_wanted: dict[int, list[int]] = {}
+_configured: dict[int, str] = {}
+
+
 @contextmanager
 def shuffles_sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
     """Run jobs with enough shuffle partitions for their input, never fewer than configured.
 
     Adaptive execution joins partitions that turn out small but cannot split a hash or range shuffle
     that was planned too coarse, as one backfill of a long history would be under a daily setting.
+    Jobs side by side in one session share the largest count any of them needs.
     """
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    needed = -(-stored_bytes // BYTES_PER_PARTITION)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(max(int(before), needed)))
+    needed, session = -(-stored_bytes // BYTES_PER_PARTITION), id(spark)
+    with _sizing:
+        if session not in _wanted:
+            _wanted[session], _configured[session] = [], spark.conf.get(SHUFFLE_PARTITIONS)
+        _wanted[session].append(needed)
+        _apply(spark)
     try:
         yield
     finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)
+        with _sizing:
+            _wanted[session].remove(needed)
+            _apply(spark)
+            if not _wanted[session]:
+                del _wanted[session], _configured[session]
+
+
+def _apply(spark: SparkSession) -> None:
+    counts = [int(_configured[id(spark)]), *_wanted[id(spark)]]
+    spark.conf.set(SHUFFLE_PARTITIONS, str(max(counts)))

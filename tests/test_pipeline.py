@@ -16,6 +16,7 @@ from millrace.plans import (
     run_extract,
     run_load,
     run_pipeline,
+    run_stage,
 )
 from millrace.sources import (
     TableSpec,
@@ -229,6 +230,23 @@ def test_empty_source_and_missing_table(spark, layout):
         run_load(spark, NAME, layout)
 
 
+def test_stage_order_and_failure():
+    started = []
+
+    def stage(n):
+        started.append(n)
+        if n == 2:
+            raise OSError("table 2")
+        return n * 10
+
+    assert run_stage(stage, [3, 1], parallel=2) == [30, 10]
+    assert run_stage(stage, []) == []
+    started.clear()
+    with pytest.raises(OSError, match="table 2"):
+        run_stage(stage, [1, 2, 3, 4])
+    assert started[:2] == [1, 2] and 4 not in started
+
+
 def test_names_must_not_clash(spark, layout):
     with pytest.raises(ValueError, match="share a name: a"):
         run_pipeline(spark, [TableSpec("x.a"), TableSpec("y.a")], layout)

@@ -144,6 +144,16 @@ def test_load_record(spark, tmp_path):
     assert (row.table, row.unique_key, row.last_version, row.rows) == ("t", "k", 3, 17)
 
 
+def test_side_by_side_jobs_share_the_largest_shuffle(spark):
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    first, second = shuffles_sized_for(spark, 10 << 30), shuffles_sized_for(spark, 20 << 30)
+    seen = []
+    for step in (first.__enter__, second.__enter__, first.__exit__, second.__exit__):
+        step(*(() if step.__name__ == "__enter__" else (None, None, None)))
+        seen.append(spark.conf.get(SHUFFLE_PARTITIONS))
+    assert seen == ["10", "20", "20", before]
+
+
 @pytest.mark.parametrize("text", ['{"table":"t","last_value":"yesterday"}', "not json", '{"table":"t"}', ""])
 def test_bad_watermark_is_rejected(spark, tmp_path, text):
     folder = tmp_path / "state" / "seq=0"
