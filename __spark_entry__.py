@@ -60,6 +60,12 @@ from millrace.sources import (  # noqa: E402
 from millrace.sources.files import session_dir  # noqa: E402
 from millrace.streaming import run_transform  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from millrace.llm import registry as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 MARK = datetime(1998, 1, 1)
@@ -351,6 +357,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    found = table_queries()
+    if llm is not None:
+        found |= {**llm.queries(), "pipeline": corpus_pipeline.run}
+    return found
+
+
+def table_queries() -> dict[str, Query]:
+    """The queries on factory tables."""
     return {
         "scan_full": q_scan_full,
         "scan_query": q_scan_query,
@@ -517,4 +531,9 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_incremental": _panel_production("orders_log"),
         "pipeline_latest_table": LATEST_ORDERS,
     }
-    return {name: check_sql(text) for name, text in texts.items()}
+    checks = {name: check_sql(text) for name, text in texts.items()}
+    if llm is not None:
+        checks |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            checks["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return checks

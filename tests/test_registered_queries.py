@@ -29,10 +29,10 @@ def kinds(table) -> dict[str, str]:
 
 
 def test_every_query_has_a_check():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.table_queries()) <= set(registry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(registry.queries()))
+@pytest.mark.parametrize("name", list(registry.table_queries()))
 def test_query_matches_sql(spark, duck, name):
     got = registry.queries()[name](spark, SF_DIR)
     want = duck.sql(registry.oracle_sql()[name]).to_arrow_table()
