@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, mixing, urls
+from millrace.llm import decontamination, line_dedup, mixing, pii, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf, "documents")))
+
+
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(table(spark, sf, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "removed", "text")
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontamination.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return decontamination.digest(found)
@@ -31,6 +40,8 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii": op1_pii,
+        "op2_line_dedup": op2_line_dedup,
         "op3_decontamination": op3_decontamination,
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
