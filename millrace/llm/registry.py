@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, line_dedup, mixing, pii, urls
+from millrace.llm import decontamination, line_dedup, lm, mixing, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,14 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_lm(table(spark, sf, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "block_share")
@@ -43,6 +51,8 @@ def queries() -> dict[str, Query]:
         "op1_pii": op1_pii,
         "op2_line_dedup": op2_line_dedup,
         "op3_decontamination": op3_decontamination,
+        "op4_quality": op4_quality,
+        "op5_lm_scoring": op5_lm_scoring,
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
     }
