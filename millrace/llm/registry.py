@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, line_dedup, lm, mixing, pii, quality, urls
+from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,14 @@ def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score_lm(table(spark, sf, "documents"))
 
 
+def op7_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return vectors.link_vectors(table(spark, sf, "embeddings"))
+
+
+def op8_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "template", "block_share")
@@ -53,6 +61,8 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op4_quality": op4_quality,
         "op5_lm_scoring": op5_lm_scoring,
+        "op7_vectors": op7_vectors,
+        "op8_jaccard": op8_jaccard,
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
     }
