@@ -101,7 +101,10 @@ def _scan(rows: DataFrame, windows: DataFrame, size: int) -> DataFrame:
     if wanted.count() <= BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
     worded = rows.select("doc_id", _text_hash(), words(F.col("text")).alias("w"))
-    scanned = with_window_hashes(worded, "w", size, "hashes").select("doc_id", "h", F.posexplode("hashes").alias("pos", "hash"))
+    # The outer form: the inner one adds a filter on the array, which computes all of it again.
+    scanned = with_window_hashes(worded, "w", size, "hashes").select(
+        "doc_id", "h", F.posexplode_outer("hashes").alias("pos", "hash")
+    )
     found = scanned.join(wanted, "hash", "left_semi")
     return found.groupBy("doc_id", "h").agg(F.collect_set(F.struct("pos", F.lit(size).alias("size"))).alias("candidates"))
 
