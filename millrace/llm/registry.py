@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, urls, vectors
+from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, substrings, urls, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return lm.score_lm(table(spark, sf, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.digest(substrings.remove_repeats(table(spark, sf, "documents")))
+
+
 def op7_vectors(spark: SparkSession, sf: str) -> DataFrame:
     return vectors.link_vectors(table(spark, sf, "embeddings"))
 
@@ -61,6 +65,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op4_quality": op4_quality,
         "op5_lm_scoring": op5_lm_scoring,
+        "op6_substrings": op6_substrings,
         "op7_vectors": op7_vectors,
         "op8_jaccard": op8_jaccard,
         "op9_url_filters": op9_url_filters,
@@ -71,5 +76,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": decontamination.oracle(),
+        "op6_substrings": substrings.oracle(),
         "op10_mixing": mixing.oracle(),
     }
