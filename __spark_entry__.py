@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from factory_views import check_sql, register, view  # noqa: E402
-from millrace.functions import band  # noqa: E402
 from millrace.operators import (  # noqa: E402
     advance_watermark,
     aggregate,
@@ -29,8 +28,10 @@ from millrace.operators import (  # noqa: E402
 )
 from millrace.plans import (  # noqa: E402
     MARTS,
+    anomaly_band,
     build_mart,
     conform,
+    fold_mart,
     latest_table,
     panel_anomaly,
     panel_machine,
@@ -40,7 +41,11 @@ from millrace.plans import (  # noqa: E402
     read_mart,
     read_states,
     refresh_mart,
+    refresh_marts,
+    run_extract,
+    run_load,
     run_pipeline,
+    sensor_bands,
     time_range,
 )
 from millrace.sources import (  # noqa: E402
@@ -53,11 +58,12 @@ from millrace.sources import (  # noqa: E402
     land,
     scan_full,
     scan_landing,
+    scan_new_files,
     scan_query,
     versions,
     with_version,
 )
-from millrace.sources.files import session_dir  # noqa: E402
+from millrace.sources.files import numbered, session_dir  # noqa: E402
 from millrace.streaming import run_transform  # noqa: E402
 
 try:
@@ -129,13 +135,14 @@ def _landed(spark: SparkSession, sf: str, layout: Layout, step: Callable[[], obj
 def q_scan_landing(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(work_dir(spark))
     orders = _landed(spark, sf, layout, lambda: None)
-    return scan_landing(spark, layout.landing("orders"), orders.schema)
+    orders.limit(7).write.parquet(f"{layout.landing('orders')}/seq=2")  # a torn batch is not read
+    return scan_landing(spark, layout.landing("orders"))
 
 
 def q_scan_new_files(spark: SparkSession, sf: str) -> DataFrame:
     layout = Layout(work_dir(spark))
-    _landed(spark, sf, layout, lambda: run_transform(spark, "orders", layout))
-    return added_since(spark, layout.table("orders"), 0).drop("_delta_version")
+    _landed(spark, sf, layout, lambda: None)
+    return scan_new_files(spark, layout.landing("orders"), 0)
 
 
 # ---- cleaning -------------------------------------------------------------------------------------
@@ -143,8 +150,8 @@ def q_scan_new_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_cast_time_columns(spark: SparkSession, sf: str) -> DataFrame:
     raw = view(spark, sf, "fact_sensor_readings").selectExpr(
-        "reading_id",
-        "cast(reading_timestamp as string) as Reading_Timestamp",
+        "* except (reading_timestamp, created_at, updated_at)",
+        "cast(reading_timestamp as string) || if(reading_id % 2 = 0, '+02:00', '') as Reading_Timestamp",
         "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', created_at) as created_at",
         "cast(updated_at as date) as updated_at",
     )
@@ -153,18 +160,15 @@ def q_cast_time_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_to_naive_utc(spark: SparkSession, sf: str) -> DataFrame:
     zoned = view(spark, sf, "fact_sensor_readings").selectExpr(
-        "reading_id",
+        "* except (reading_timestamp)",
         "cast(cast(reading_timestamp as string) || '+02:00' as timestamp_ltz) as reading_timestamp",
-        "created_at",
     )
     return to_naive_utc(zoned)
 
 
 def q_drop_exact_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     lines = view(spark, sf, "lineitem")
-    return drop_exact_duplicates(
-        lines.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    )
+    return drop_exact_duplicates(lines.union(lines.filter("l_linenumber > 2")))
 
 
 def q_deterministic_sort(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,13 +215,24 @@ def q_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(spark, _log_table(spark, sf), 0)
 
 
+def q_as_of_unmarked(spark: SparkSession, sf: str) -> DataFrame:
+    """A version without commit record is left out, whatever its number and whatever lies in it."""
+    path = Layout(work_dir(spark)).table("orders")
+    torn = view(spark, sf, "fact_production_orders").filter("status = 'F'")
+    torn.write.parquet(numbered(path, "_delta_version", 0))
+    append_version(view(spark, sf, "order_changes"), path, 1)
+    torn.write.parquet(numbered(path, "_delta_version", 2))
+    return as_of(spark, path)
+
+
 def q_latest_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return latest_by_key(view(spark, sf, "orders_log"), ["order_id"])
 
 
 def q_latest_by_key_ties(spark: SparkSession, sf: str) -> DataFrame:
     lines = view(spark, sf, "lineitem")
-    return latest_by_key(lines, ["l_orderkey"], "l_linenumber", ["l_shipdate"])
+    rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber", "l_shipdate")]
+    return latest_by_key(lines, ["l_orderkey"], "l_linenumber", ["l_shipdate", *rest])
 
 
 def q_conform(spark: SparkSession, sf: str) -> DataFrame:
@@ -237,35 +252,76 @@ def _states(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return partial(view(spark, sf, MARTS[name].source), MARTS[name])
 
 
-def _warehouse(spark: SparkSession, sf: str, step: Callable[[Layout, int | None], object]) -> Layout:
-    """Load both order versions one after the other, with ``step`` after each."""
-    layout = Layout(work_dir(spark))
+def _loaded(spark: SparkSession, sf: str, layout: Layout, v: int) -> None:
+    """Load one version of the orders; version 1 holds the changes."""
+    rows = view(spark, sf, ("fact_production_orders", "order_changes")[v])
     path = layout.warehouse("fact_production_orders")
-    for v, name in enumerate(("fact_production_orders", "order_changes")):
-        rows = conform(with_version(view(spark, sf, name), v), "fact_production_orders")
-        append_version(rows, path, v)
-        step(layout, v - 1 if v else None)
-    return layout
+    append_version(conform(with_version(rows, v), "fact_production_orders"), path, v)
 
 
 def q_mart_incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    name = "mv_machine_daily"
-    layout = _warehouse(spark, sf, lambda lay, since: refresh_mart(spark, lay, name, since))
-    return read_mart(spark, layout, name)
+    layout = Layout(work_dir(spark))
+    for v in (0, 1):
+        _loaded(spark, sf, layout, v)
+        refresh_mart(spark, layout, "mv_machine_daily")
+    return read_mart(spark, layout, "mv_machine_daily")
+
+
+def q_mart_folded(spark: SparkSession, sf: str) -> DataFrame:
+    layout = Layout(work_dir(spark))
+    for v in (0, 1):
+        _loaded(spark, sf, layout, v)
+        refresh_mart(spark, layout, "mv_machine_daily")
+    fold_mart(spark, layout, "mv_machine_daily")
+    return read_mart(spark, layout, "mv_machine_daily")
 
 
 def q_mart_backfill(spark: SparkSession, sf: str) -> DataFrame:
-    layout = _warehouse(spark, sf, lambda lay, since: None)
+    layout = Layout(work_dir(spark))
+    for v in (0, 1):
+        _loaded(spark, sf, layout, v)
     build_mart(spark, layout, "mv_production_daily")
     return read_mart(spark, layout, "mv_production_daily")
 
 
 def q_mart_latest(spark: SparkSession, sf: str) -> DataFrame:
-    layout = _warehouse(spark, sf, lambda lay, since: None)
+    layout = Layout(work_dir(spark))
+    for v in (0, 1):
+        _loaded(spark, sf, layout, v)
     build_mart(spark, layout, "mv_production_daily", mode="latest")
     return read_mart(spark, layout, "mv_production_daily", mode="latest")
 
 
+def q_mart_added_later(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart whose first refresh comes after loads that did not feed it covers them all."""
+    layout = Layout(work_dir(spark))
+    _loaded(spark, sf, layout, 0)
+    refresh_mart(spark, layout, "mv_machine_daily")
+    _loaded(spark, sf, layout, 1)
+    refresh_marts(spark, layout, "fact_production_orders")
+    return read_mart(spark, layout, "mv_production_daily")
+
+
+def q_mart_latest_after_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A mart of newest rows follows the next load."""
+    layout = Layout(work_dir(spark))
+    _loaded(spark, sf, layout, 0)
+    build_mart(spark, layout, "mv_production_daily", mode="latest")
+    _loaded(spark, sf, layout, 1)
+    refresh_marts(spark, layout, "fact_production_orders")
+    return read_mart(spark, layout, "mv_production_daily", mode="latest")
+
+
+def q_mart_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A replacement is built beside the mart and then put in its place."""
+    layout = Layout(work_dir(spark))
+    _loaded(spark, sf, layout, 0)
+    build_mart(spark, layout, "mv_machine_daily")
+    _loaded(spark, sf, layout, 1)
+    build_mart(spark, layout, "mv_machine_daily", replace=True)
+    return read_mart(spark, layout, "mv_machine_daily")
+
+
 def q_panel_production(spark: SparkSession, sf: str) -> DataFrame:
     return panel_production(_states(spark, sf, "mv_production_daily"))
 
@@ -303,12 +359,11 @@ def q_panel_time_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_threshold_band(spark: SparkSession, sf: str) -> DataFrame:
-    panel = panel_sensor(_states(spark, sf, "mv_sensor_hourly"))
-    return panel.select(
-        "reading_hour",
-        "sensor_id",
-        *[band(F.col(c), 90, 95).alias(f"{c}_band") for c in ("avg_value", "max_value", "min_value")],
-    )
+    return sensor_bands(panel_sensor(_states(spark, sf, "mv_sensor_hourly")))
+
+
+def q_anomaly_band(spark: SparkSession, sf: str) -> DataFrame:
+    return anomaly_band(panel_anomaly(_states(spark, sf, "mv_anomaly_daily")))
 
 
 # ---- whole pipeline -------------------------------------------------------------------------------
@@ -347,13 +402,40 @@ def q_pipeline_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return panel_production(read_states(spark, layout, "mv_production_daily"))
 
 
+def q_pipeline_torn_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """The second batch is torn when the first is transformed, and landed whole by the repeated extract."""
+    layout = Layout(work_dir(spark))
+    register(spark, sf, "orders_changed")
+    name = "fact_production_orders"
+    run_extract(spark, TableSpec(name, query=f"select * from {name}"), layout)
+    torn = view(spark, sf, "order_changes").filter("target_qty > 200")
+    torn.write.parquet(numbered(layout.landing(name), "seq", 1))
+    run_transform(spark, name, layout)
+    run_extract(spark, TableSpec(name, query="select * from orders_changed"), layout)
+    run_transform(spark, name, layout)
+    return as_of(spark, layout.table(name))
+
+
+def q_pipeline_load_stopped(spark: SparkSession, sf: str) -> DataFrame:
+    """A load stops between two versions and again while it repeats; readers never lose the first."""
+    layout = Layout(work_dir(spark))
+    name = "fact_production_orders"
+    for v, rows in enumerate((name, "order_changes")):
+        append_version(view(spark, sf, rows), layout.table(name), v)
+    _loaded(spark, sf, layout, 0)
+    torn = view(spark, sf, "order_changes").filter("target_qty > 200")
+    torn.write.parquet(numbered(layout.warehouse(name), "_delta_version", 1))
+    run_load(spark, name, layout)
+    return as_of(spark, layout.warehouse(name))
+
+
 def q_pipeline_latest_table(spark: SparkSession, sf: str) -> DataFrame:
     return latest_table(spark, _changed_source(spark, sf), "fact_production_orders")
 
 
 def entry(spark: SparkSession) -> DataFrame:
     """Daily anomaly rate, from readings to an ordered panel."""
-    return q_panel_anomaly(spark, "/root/testdata/sf0.001")
+    return q_panel_anomaly(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def queries() -> dict[str, Query]:
@@ -383,6 +465,7 @@ def table_queries() -> dict[str, Query]:
         "versions": q_versions,
         "added_since": q_added_since,
         "as_of": q_as_of,
+        "as_of_unmarked": q_as_of_unmarked,
         "latest_by_key": q_latest_by_key,
         "latest_by_key_ties": q_latest_by_key_ties,
         "conform": q_conform,
@@ -393,6 +476,10 @@ def table_queries() -> dict[str, Query]:
         "mart_incremental_refresh": q_mart_incremental_refresh,
         "mart_backfill": q_mart_backfill,
         "mart_latest": q_mart_latest,
+        "mart_folded": q_mart_folded,
+        "mart_added_later": q_mart_added_later,
+        "mart_latest_after_load": q_mart_latest_after_load,
+        "mart_rebuild": q_mart_rebuild,
         "panel_production": q_panel_production,
         "panel_machine": q_panel_machine,
         "panel_machine_one": q_panel_machine_one,
@@ -403,10 +490,13 @@ def table_queries() -> dict[str, Query]:
         "picker_sensor": q_picker_sensor,
         "panel_time_range": q_panel_time_range,
         "threshold_band": q_threshold_band,
+        "anomaly_band": q_anomaly_band,
         "pipeline_end_to_end": q_pipeline_end_to_end,
         "pipeline_replay": q_pipeline_replay,
         "pipeline_incremental": q_pipeline_incremental,
         "pipeline_latest_table": q_pipeline_latest_table,
+        "pipeline_torn_landing": q_pipeline_torn_landing,
+        "pipeline_load_stopped": q_pipeline_load_stopped,
     }
 
 
@@ -488,12 +578,13 @@ def oracle_sql() -> dict[str, str]:
  where updated_at = (select max(updated_at) from fact_production_orders) group by 1""",
         "scan_landing": log_rows,
         "scan_new_files": "select * from order_changes",
-        "cast_time_columns": """select reading_id, reading_timestamp as Reading_Timestamp, created_at,
+        "cast_time_columns": """select * exclude (reading_timestamp, updated_at),
+ case when reading_id % 2 = 0 then reading_timestamp - interval '2' hour else reading_timestamp
+  end as Reading_Timestamp,
  cast(cast(updated_at as date) as timestamp) as updated_at from fact_sensor_readings""",
-        "to_naive_utc": """select reading_id, reading_timestamp - interval '2' hour as reading_timestamp,
- created_at from fact_sensor_readings""",
-        "drop_exact_duplicates": """select distinct l_orderkey, l_linenumber, l_returnflag, l_linestatus
- from lineitem""",
+        "to_naive_utc": """select * exclude (reading_timestamp),
+ reading_timestamp - interval '2' hour as reading_timestamp from fact_sensor_readings""",
+        "drop_exact_duplicates": "select distinct * from lineitem",
         "deterministic_sort": "select * from fact_production_orders",
         "concat_strict": log_rows,
         "append_version": "select * from orders_log",
@@ -502,6 +593,7 @@ def oracle_sql() -> dict[str, str]:
         "versions": "select distinct _delta_version from orders_log",
         "added_since": "select * from orders_log where _delta_version > 0",
         "as_of": "select * from orders_log where _delta_version <= 0",
+        "as_of_unmarked": "select * from orders_log where _delta_version = 1",
         "latest_by_key": LATEST_ORDERS,
         "latest_by_key_ties": LATEST_LINES,
         "conform": "select *, cast(3 as bigint) as _delta_version from fact_sensor_readings",
@@ -512,6 +604,10 @@ def oracle_sql() -> dict[str, str]:
         "mart_incremental_refresh": MACHINE_DAILY,
         "mart_backfill": _production("orders_log"),
         "mart_latest": _production(f"({LATEST_ORDERS})"),
+        "mart_folded": MACHINE_DAILY,
+        "mart_added_later": _production("orders_log"),
+        "mart_latest_after_load": _production(f"({LATEST_ORDERS})"),
+        "mart_rebuild": MACHINE_DAILY,
         "panel_production": _panel_production("fact_production_orders"),
         "panel_machine": _panel_machine(),
         "panel_machine_one": _panel_machine(f"and machine_id = '{MACHINE}'"),
@@ -526,10 +622,15 @@ def oracle_sql() -> dict[str, str]:
         ),
         "threshold_band": f"""select reading_hour, sensor_id,
  {", ".join(_band(c) for c in ("avg_value", "max_value", "min_value"))} from ({_panel_sensor()})""",
+        "anomaly_band": f"""select reading_date, anomaly_rate_pct,
+ case when anomaly_rate_pct > 10 then 'red' when anomaly_rate_pct > 5 then 'orange' else 'green' end as rate_band
+ from ({PANEL_ANOMALY})""",
         "pipeline_end_to_end": _panel_machine(),
         "pipeline_replay": PANEL_ANOMALY,
         "pipeline_incremental": _panel_production("orders_log"),
         "pipeline_latest_table": LATEST_ORDERS,
+        "pipeline_torn_landing": "select * from orders_log",
+        "pipeline_load_stopped": "select * from orders_log",
     }
     checks = {name: check_sql(text) for name, text in texts.items()}
     if llm is not None:

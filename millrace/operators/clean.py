@@ -14,20 +14,33 @@ SORT_NAMES = ("id", "updated_at", "created_at", "timestamp")
 SORT_SUFFIX = "_id"
 
 
+# Anything after a time of day but digits, colons and points: a zone.
+ZONED = r"[0-9]{1,2}:[0-9]{2}(:[0-9]{2}([.][0-9]*)?)?\s*[^0-9:.\s].*$"
+
+
+def parse_time(text: Column, name: str) -> Column:
+    """Text as a naive timestamp: zoned text as UTC, text without zone as it stands.
+
+    Text that is no timestamp raises, under any session setting.
+    """
+    value = F.when(text.rlike(ZONED), naive_utc(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
+    problem = F.raise_error(F.concat(F.lit(f"no timestamp in {name}: "), text)).cast("timestamp_ntz")
+    return F.when(text.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(F.coalesce(value, problem))
+
+
 def _as_datetime(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
         return c
     if isinstance(field.dataType, T.IntegralType):
         return micros_to_ntz(c).alias(field.name)
-    return c.cast("timestamp_ntz").alias(field.name)
+    if isinstance(field.dataType, T.DateType):
+        return c.cast("timestamp_ntz").alias(field.name)
+    return parse_time(c.cast("string"), field.name).alias(field.name)
 
 
 def cast_time_columns(df: DataFrame) -> DataFrame:
-    """Turn every time-named column into a microsecond timestamp; integers count microseconds.
-
-    Text that is not a timestamp raises (ANSI mode, the Spark 4 default).
-    """
+    """Turn every time-named column into a microsecond timestamp; integers count microseconds."""
     return df.select(
         *[
             _as_datetime(f)

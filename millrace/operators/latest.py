@@ -16,12 +16,13 @@ def latest_by_key(
 ) -> DataFrame:
     """Keep the row with the highest ``version`` per key, then the highest ``tie`` columns.
 
-    The remaining columns follow as a last tie-break, so the answer does not depend on task order.
+    A hash of the whole row decides between rows that still tie, so the answer does not depend on task
+    order; name columns in ``tie`` where it must follow from their values.
     The rank filter also runs before the shuffle, where a task passes on one row per key; a key with
     very many versions therefore reaches its reducer as one row per map task.
     """
     named = [version, *[c for c in tie if c in df.columns]]
-    rest = [c for c in df.columns if c not in named and c not in keys]
-    order = [F.col(c).desc_nulls_last() for c in named + rest]
+    order = [F.col(c).desc_nulls_last() for c in named]
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

@@ -59,12 +59,13 @@ def mean(name: str, column: str) -> Measure:
 
 @dataclass(frozen=True)
 class MartSpec:
-    """A mart: its source table, group keys, columns that must not be NULL, and measures."""
+    """A mart: its source table, group keys, columns that must not be NULL, those it reads, measures."""
 
     name: str
     source: str
     keys: dict[str, Callable[[], Column]]
     required: tuple[str, ...]
+    reads: tuple[str, ...]
     measures: tuple[Measure, ...]
 
 
@@ -86,11 +87,15 @@ def finish(states: DataFrame, mart: MartSpec, by: Sequence[str] | None = None) -
     return states.select(*keys, *[m.finish().alias(m.name) for m in mart.measures])
 
 
+def fold(states: DataFrame, mart: MartSpec, by: Sequence[str] | None = None) -> DataFrame:
+    """States merged to the mart's keys, or rolled up to the coarser ``by``; still states."""
+    keys = list(mart.keys) if by is None else list(by)
+    return states.groupBy(*keys).agg(*[f(s).alias(s) for m in mart.measures for s, f in m.folds.items()])
+
+
 def merge(states: DataFrame, mart: MartSpec, by: Sequence[str] | None = None) -> DataFrame:
     """Merge states to the mart's keys, or roll up to the coarser ``by``, and read their values."""
-    keys = list(mart.keys) if by is None else list(by)
-    folds = [fold(s).alias(s) for m in mart.measures for s, fold in m.folds.items()]
-    return finish(states.groupBy(*keys).agg(*folds), mart, keys)
+    return finish(fold(states, mart, by), mart, by)
 
 
 def aggregate(df: DataFrame, mart: MartSpec) -> DataFrame:

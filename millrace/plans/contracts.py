@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.checks import require_columns
+from millrace.operators.clean import parse_time
 
 
 @dataclass(frozen=True)
@@ -20,84 +21,66 @@ class Contract:
 
 STRING, INT, LONG, BOOL = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
 TIME, DECIMAL = T.TimestampNTZType(), T.DecimalType(10, 4)
-
-
-def _contract(name: str, key: str, required: dict, optional: dict, order: str) -> Contract:
-    types = {**required, **optional}
-    fields = [T.StructField(c, types[c], c in optional) for c in order.split()]
-    return Contract(name, key, T.StructType(fields))
-
+REQUIRED = False  # not nullable
 
 # Column names, types, order and nullability of the four warehouse tables.
+DIM_MACHINES = T.StructType(
+    [
+        T.StructField("machine_id", STRING, REQUIRED),
+        T.StructField("machine_name", STRING, REQUIRED),
+        T.StructField("machine_type", STRING, REQUIRED),
+        T.StructField("location", STRING, REQUIRED),
+        T.StructField("status", STRING),
+        T.StructField("created_at", TIME),
+        T.StructField("updated_at", TIME),
+        T.StructField("_delta_version", LONG, REQUIRED),
+    ]
+)
+DIM_SENSORS = T.StructType(
+    [
+        T.StructField("sensor_id", STRING, REQUIRED),
+        T.StructField("machine_id", STRING),
+        T.StructField("sensor_type", STRING, REQUIRED),
+        T.StructField("measurement_unit", STRING, REQUIRED),
+        T.StructField("created_at", TIME),
+        T.StructField("updated_at", TIME),
+        T.StructField("_delta_version", LONG, REQUIRED),
+    ]
+)
+FACT_PRODUCTION_ORDERS = T.StructType(
+    [
+        T.StructField("order_id", STRING, REQUIRED),
+        T.StructField("machine_id", STRING),
+        T.StructField("product_sku", STRING, REQUIRED),
+        T.StructField("target_qty", INT, REQUIRED),
+        T.StructField("actual_qty", INT),
+        T.StructField("status", STRING),
+        T.StructField("start_time", TIME),
+        T.StructField("end_time", TIME),
+        T.StructField("created_at", TIME),
+        T.StructField("updated_at", TIME),
+        T.StructField("_delta_version", LONG, REQUIRED),
+    ]
+)
+FACT_SENSOR_READINGS = T.StructType(
+    [
+        T.StructField("reading_id", LONG, REQUIRED),
+        T.StructField("sensor_id", STRING),
+        T.StructField("reading_value", DECIMAL, REQUIRED),
+        T.StructField("is_anomaly", BOOL),
+        T.StructField("reading_timestamp", TIME, REQUIRED),
+        T.StructField("created_at", TIME),
+        T.StructField("updated_at", TIME),
+        T.StructField("_delta_version", LONG, REQUIRED),
+    ]
+)
 CONTRACTS: dict[str, Contract] = {
     c.name: c
     for c in (
-        _contract(
-            "dim_machines",
-            "machine_id",
-            required={
-                "machine_id": STRING,
-                "machine_name": STRING,
-                "machine_type": STRING,
-                "location": STRING,
-                "_delta_version": LONG,
-            },
-            optional={"status": STRING, "created_at": TIME, "updated_at": TIME},
-            order="machine_id machine_name machine_type location status created_at updated_at "
-            "_delta_version",
-        ),
-        _contract(
-            "dim_sensors",
-            "sensor_id",
-            required={
-                "sensor_id": STRING,
-                "sensor_type": STRING,
-                "measurement_unit": STRING,
-                "_delta_version": LONG,
-            },
-            optional={"machine_id": STRING, "created_at": TIME, "updated_at": TIME},
-            order="sensor_id machine_id sensor_type measurement_unit created_at updated_at "
-            "_delta_version",
-        ),
-        _contract(
-            "fact_production_orders",
-            "order_id",
-            required={
-                "order_id": STRING,
-                "product_sku": STRING,
-                "target_qty": INT,
-                "_delta_version": LONG,
-            },
-            optional={
-                "machine_id": STRING,
-                "actual_qty": INT,
-                "status": STRING,
-                "start_time": TIME,
-                "end_time": TIME,
-                "created_at": TIME,
-                "updated_at": TIME,
-            },
-            order="order_id machine_id product_sku target_qty actual_qty status start_time end_time "
-            "created_at updated_at _delta_version",
-        ),
-        _contract(
-            "fact_sensor_readings",
-            "reading_id",
-            required={
-                "reading_id": LONG,
-                "reading_value": DECIMAL,
-                "reading_timestamp": TIME,
-                "_delta_version": LONG,
-            },
-            optional={
-                "sensor_id": STRING,
-                "is_anomaly": BOOL,
-                "created_at": TIME,
-                "updated_at": TIME,
-            },
-            order="reading_id sensor_id reading_value is_anomaly reading_timestamp created_at "
-            "updated_at _delta_version",
-        ),
+        Contract("dim_machines", "machine_id", DIM_MACHINES),
+        Contract("dim_sensors", "sensor_id", DIM_SENSORS),
+        Contract("fact_production_orders", "order_id", FACT_PRODUCTION_ORDERS),
+        Contract("fact_sensor_readings", "reading_id", FACT_SENSOR_READINGS),
     )
 }
 
@@ -112,9 +95,40 @@ _FILLER = {
 }
 
 
-def _checked(table: str, field: T.StructField) -> Column:
+# Wide enough to hold every value of the types that are compared after a cast.
+_WIDE = "decimal(38,10)"
+
+
+def _exact(c: Column, source: T.DataType, target: T.DataType) -> Column:
+    """Whether the cast of a value that is not NULL kept it."""
+    out = c.try_cast(target)
+    numeric = isinstance(target, T.NumericType)
+    if numeric and isinstance(source, (T.FloatType, T.DoubleType)):
+        return F.coalesce(out.cast("double") == c.cast("double"), F.lit(False))
+    if isinstance(target, (T.DecimalType, T.IntegralType)) and isinstance(source, (T.NumericType, T.StringType)):
+        return F.coalesce(out.try_cast(_WIDE) == c.try_cast(_WIDE), F.lit(False)) & (
+            c.try_cast("double").isNull() | (F.abs(out.cast("double") - c.try_cast("double")) <= F.abs(c.try_cast("double")) * 1e-12)
+        )
+    return out.isNotNull()
+
+
+def _cast(table: str, c: Column, source: T.DataType, field: T.StructField) -> Column:
+    """The value in the contract's type; one that does not fit, or would be rounded, raises."""
+    dtype = field.dataType
+    if source == dtype or isinstance(source, T.NullType):
+        return c.cast(dtype)
+    if isinstance(dtype, T.TimestampNTZType) and isinstance(source, T.StringType):
+        return parse_time(c, f"{table}.{field.name}")
+    problem = F.raise_error(
+        F.concat(F.lit(f"{table}.{field.name} would lose "), c.cast("string"), F.lit(f" as {dtype.simpleString()}"))
+    ).cast(dtype)
+    kept = F.when(_exact(c, source, dtype), c.try_cast(dtype)).otherwise(problem)
+    return F.when(c.isNull(), F.lit(None).cast(dtype)).otherwise(kept)
+
+
+def _checked(table: str, source: T.DataType, field: T.StructField) -> Column:
     dtype = field.dataType
-    c = F.col(field.name).cast(dtype)
+    c = _cast(table, F.col(field.name), source, field)
     if field.nullable:
         return c.alias(field.name)
     problem = F.raise_error(F.lit(f"NULL in {table}.{field.name}")).cast(dtype)
@@ -126,8 +140,9 @@ def _checked(table: str, field: T.StructField) -> Column:
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select the contract's columns in order, cast them, and fail on NULL where none is allowed.
 
-    Missing and unknown columns raise before any job runs; the rest is checked row by row inside the
-    same scan that writes the table.
+    Missing and unknown columns raise before any job runs. The rest is checked row by row inside the
+    same scan that writes the table: a value that does not fit its type, or that the cast would round,
+    raises under any session setting.
     """
     contract = CONTRACTS[name]
     wanted = contract.schema.fieldNames()
@@ -135,4 +150,4 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     unknown = [c for c in df.columns if c not in wanted]
     if unknown:
         raise ValueError(f"unknown column(s) for {name}: {', '.join(unknown)}")
-    return df.select(*[_checked(name, f) for f in contract.schema.fields])
+    return df.select(*[_checked(name, df.schema[f.name].dataType, f) for f in contract.schema.fields])

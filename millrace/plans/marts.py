@@ -11,6 +11,7 @@ from millrace.operators.latest import latest_by_key
 from millrace.operators.states import (
     VERSION,
     MartSpec,
+    fold,
     highest,
     lowest,
     mean,
@@ -20,9 +21,10 @@ from millrace.operators.states import (
     total,
 )
 from millrace.plans.contracts import CONTRACTS
-from millrace.sources.files import exists, shuffles_sized_for, size_of, write_numbered
+from millrace.sources.files import commit, committed, numbered, write_numbered
 from millrace.sources.layout import Layout
-from millrace.sources.versioned import added_since, as_of, committed_versions, version_paths
+from millrace.sources.progress import read_record, write_record
+from millrace.sources.versioned import added_since, as_of, current_version
 
 ORDERS = "fact_production_orders"
 READINGS = "fact_sensor_readings"
@@ -48,6 +50,7 @@ MARTS: dict[str, MartSpec] = {
             ORDERS,
             keys={"order_date": _order_date},
             required=("start_time",),
+            reads=("start_time", "target_qty", "actual_qty"),
             measures=(
                 row_count("order_count"),
                 total("target_total", lambda: F.col("target_qty")),
@@ -60,6 +63,7 @@ MARTS: dict[str, MartSpec] = {
             ORDERS,
             keys={"machine_id": lambda: F.col("machine_id"), "order_date": _order_date},
             required=("machine_id", "start_time"),
+            reads=("machine_id", "start_time", "target_qty", "actual_qty"),
             measures=(
                 row_count("order_count"),
                 total("target_total", lambda: F.col("target_qty")),
@@ -74,6 +78,7 @@ MARTS: dict[str, MartSpec] = {
                 "reading_hour": lambda: start_of_hour(F.col("reading_timestamp")),
             },
             required=("sensor_id",),
+            reads=("sensor_id", "reading_timestamp", "reading_value", "is_anomaly"),
             measures=(
                 mean("avg_val", "reading_value"),
                 highest("max_val", "reading_value"),
@@ -87,6 +92,7 @@ MARTS: dict[str, MartSpec] = {
             READINGS,
             keys={"reading_date": lambda: F.to_date("reading_timestamp")},
             required=(),
+            reads=("reading_timestamp", "is_anomaly"),
             measures=(total("anomaly_count", _flag), row_count("total_readings")),
         ),
     )
@@ -108,21 +114,47 @@ def latest_table(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     return latest_by_key(read_table(spark, layout, name), [CONTRACTS[name].key])
 
 
+# A mart is a row of builds; the newest record names the one in use. A build is a row of parts, each
+# with the states of the table versions after the part before, up to ``upto`` of its commit record.
+PART = "part"
+MODES = ("append", "latest")
+
+
 def _state_schema(spark: SparkSession, mart: MartSpec) -> T.StructType:
     fields = CONTRACTS[mart.source].schema.fields
     empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
-    return partial(empty, mart).schema
+    return partial(empty.drop(VERSION), mart).schema
 
 
-def _write_states(states: DataFrame, path: str, overwrite: str) -> None:
-    # Rebalancing gathers a version's few states into few files and splits a version that is large.
-    (
-        states.hint("rebalance", F.col(VERSION))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy(VERSION)
-        .parquet(path)
-    )
+def _builds(layout: Layout, name: str, mode: str) -> str:
+    return layout.state(f"marts_{mode}", name)
+
+
+def current_build(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> int | None:
+    """Number of the build in use, or ``None`` for a mart that was never built."""
+    found = read_record(spark, _builds(layout, name, mode), "build")
+    return None if found is None else found[1]["build"]
+
+
+def mart_upto(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> int | None:
+    """Newest table version that the mart in use covers."""
+    build = current_build(spark, layout, name, mode)
+    if build is None:
+        return None
+    path = layout.mart(name, mode, build)
+    parts = committed(spark, path, PART)
+    return commit(spark, path, PART, parts[-1])["upto"] if parts else None
+
+
+def _write_part(states: DataFrame, path: str, part: int, upto: int) -> None:
+    # Rebalancing gathers few states into few files and splits what is large.
+    write_numbered(states.hint("rebalance"), path, PART, part, empty=True, upto=upto)
+
+
+def _mart_rows(df: DataFrame, mart: MartSpec) -> DataFrame:
+    """The columns a mart reads, with what decides which row of a key is newest."""
+    keep = {CONTRACTS[mart.source].key, VERSION, "updated_at", *mart.reads}
+    return df.select(*[c for c in df.columns if c in keep])
 
 
 def build_mart(
@@ -135,43 +167,85 @@ def build_mart(
     """Fill a mart from the whole history of its table.
 
     ``append`` counts every row version, as a mart fed by inserts does; ``latest`` counts the newest
-    row per key only. An existing mart must be rebuilt explicitly with ``replace``.
+    row per key only, ties broken on the columns the mart reads. An existing mart must be rebuilt
+    explicitly with ``replace``. The new build is written beside the one in use, which readers see
+    until the new one is whole and recorded.
     """
-    if mode not in ("append", "latest"):
+    if mode not in MODES:
         raise ValueError(f"unknown mart mode {mode!r}")
     mart = MARTS[name]
-    path = layout.mart(name, mode)
-    if not replace and exists(spark, path):
+    build = current_build(spark, layout, name, mode)
+    if build is not None and not replace:
         raise FileExistsError(f"mart {name} exists; pass replace=True to rebuild it")
-    read = read_table if mode == "append" else latest_table
-    with shuffles_sized_for(spark, size_of(spark, [layout.warehouse(mart.source)])):
-        _write_states(partial(read(spark, layout, mart.source), mart), path, "static")
+    upto = current_version(spark, layout.warehouse(mart.source))
+    rows = as_of(spark, layout.warehouse(mart.source), upto, CONTRACTS[mart.source].schema)
+    if mode == "latest":
+        rows = latest_by_key(_mart_rows(rows, mart), [CONTRACTS[mart.source].key])
+    _switch(spark, layout, name, mode, build, partial(rows.drop(VERSION), mart), upto)
 
 
-def refresh_mart(spark: SparkSession, layout: Layout, name: str, since: int | None) -> None:
-    """Add the states of versions newer than ``since``; a replay overwrites the same partitions.
+def _switch(
+    spark: SparkSession, layout: Layout, name: str, mode: str, build: int | None, states: DataFrame, upto: int
+) -> None:
+    """Write a build of one part after ``build`` and put it in use.
 
-    One new version, the usual case, is written straight into its directory; several are aggregated in
-    one pass and then gathered by version.
+    A build that a stopped run committed but did not record is left behind, unused.
+    """
+    fresh = 0 if build is None else build + 1
+    while committed(spark, layout.mart(name, mode, fresh), PART):
+        fresh += 1
+    _write_part(states, layout.mart(name, mode, fresh), 0, upto)
+    write_record(spark, _builds(layout, name, mode), fresh, mart=name, mode=mode, build=fresh)
+
+
+def refresh_mart(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> None:
+    """Bring a mart up to its table's newest version.
+
+    An ``append`` mart adds one part with the states of the versions after its own last one, however
+    many they are; a mart that has no build yet starts with the whole history. A ``latest`` mart is
+    built anew, since an update takes rows back. Nothing new is no work.
     """
     mart = MARTS[name]
-    table, path = layout.warehouse(mart.source), layout.mart(name)
-    fresh = committed_versions(spark, table, since)
-    if not fresh:
+    current, upto = current_version(spark, layout.warehouse(mart.source)), mart_upto(spark, layout, name, mode)
+    if current is None or upto == current:
+        return
+    if upto is None or mode == "latest":
+        build_mart(spark, layout, name, mode, replace=True)
+        return
+    path = layout.mart(name, mode, current_build(spark, layout, name, mode))
+    rows = added_since(
+        spark, layout.warehouse(mart.source), upto, current, schema=CONTRACTS[mart.source].schema
+    )
+    _write_part(partial(rows.drop(VERSION), mart), path, committed(spark, path, PART)[-1] + 1, current)
+
+
+def refresh_marts(spark: SparkSession, layout: Layout, table: str) -> None:
+    """Refresh every mart of a table; ``latest`` marts only where they were built."""
+    for name in marts_of(table):
+        refresh_mart(spark, layout, name)
+        if current_build(spark, layout, name, "latest") is not None:
+            refresh_mart(spark, layout, name, "latest")
+
+
+def fold_mart(spark: SparkSession, layout: Layout, name: str) -> None:
+    """Merge the parts of an ``append`` mart into a new build of one part.
+
+    Panels list and merge every part, so their cost follows the number of loads until they are folded.
+    """
+    build, upto = current_build(spark, layout, name), mart_upto(spark, layout, name)
+    if build is None or len(committed(spark, layout.mart(name, "append", build), PART)) < 2:
         return
-    rows = added_since(spark, table, since, schema=CONTRACTS[mart.source].schema)
-    states = partial(rows, mart)
-    with shuffles_sized_for(spark, size_of(spark, version_paths(table, fresh))):
-        if len(fresh) == 1:
-            write_numbered(states.drop(VERSION), path, VERSION, fresh[0])
-        else:
-            _write_states(states, path, "dynamic")
+    _switch(spark, layout, name, "append", build, fold(read_states(spark, layout, name), MARTS[name]), upto)
 
 
 def read_states(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> DataFrame:
-    """Stored states of a mart, one row per key and version."""
-    schema = _state_schema(spark, MARTS[name])
-    return spark.read.schema(schema).parquet(layout.mart(name, mode))
+    """Stored states of a mart: the committed parts of the build in use, one row per key and part."""
+    build = current_build(spark, layout, name, mode)
+    if build is None:
+        raise FileNotFoundError(f"mart {name} was never built")
+    path = layout.mart(name, mode, build)
+    dirs = [numbered(path, PART, p) for p in committed(spark, path, PART)]
+    return spark.read.schema(_state_schema(spark, MARTS[name])).parquet(*dirs)
 
 
 def read_mart(spark: SparkSession, layout: Layout, name: str, mode: str = "append") -> DataFrame:

@@ -10,11 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.ratio import pct
+from millrace.functions.ratio import band, pct
 from millrace.operators.states import merge
 from millrace.plans.marts import MARTS
 
 
+# Where the panels turn orange and red.
+SENSOR_LIMITS = (90, 95)
+ANOMALY_LIMITS = (5, 10)
+
+
 def time_range(df: DataFrame, col: str, start: object, end: object) -> DataFrame:
     """Rows whose time lies in the dashboard's range; both ends belong to it."""
     dtype = df.schema[col].dataType
@@ -88,6 +93,18 @@ def panel_anomaly(states: DataFrame) -> DataFrame:
     )
 
 
+def sensor_bands(panel: DataFrame) -> DataFrame:
+    """Colours of the sensor panel's values."""
+    values = ("avg_value", "max_value", "min_value")
+    bands = [band(F.col(c), *SENSOR_LIMITS).alias(f"{c}_band") for c in values]
+    return panel.select("reading_hour", "sensor_id", *bands)
+
+
+def anomaly_band(panel: DataFrame) -> DataFrame:
+    """Colour of each day's anomaly rate."""
+    return panel.select("reading_date", "anomaly_rate_pct", band(F.col("anomaly_rate_pct"), *ANOMALY_LIMITS).alias("rate_band"))
+
+
 def picker(states: DataFrame, column: str) -> DataFrame:
     """Distinct values of a mart key for a dashboard variable."""
     return states.select(column).distinct()

@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 
 from millrace.operators.checks import require_columns
 from millrace.operators.clean import to_naive_utc
+from millrace.operators.states import VERSION
 from millrace.operators.watermark import advance_watermark, scan_since
 from millrace.plans.contracts import CONTRACTS, conform
-from millrace.plans.marts import marts_of, refresh_mart
-from millrace.sources.landing import batches, land, landed
+from millrace.plans.marts import refresh_marts
+from millrace.sources.files import commit
+from millrace.sources.landing import batches, land, landed, landed_schema
 from millrace.sources.layout import Layout, clean_name
 from millrace.sources.progress import (
     Watermark,
@@ -25,12 +27,12 @@ from millrace.sources.progress import (
     write_progress,
     write_watermark,
 )
-from millrace.sources.relation import TableSpec, source_relation, windowed_jdbc
+from millrace.sources.relation import JdbcSink, TableSpec, source_relation, windowed_jdbc, write_jdbc
 from millrace.sources.versioned import (
     append_version,
     committed_versions,
     current_version,
-    read_version,
+    read_versions,
 )
 from millrace.streaming.ingest import run_transform
 
@@ -52,11 +54,11 @@ def _advance(
     layout: Layout,
     prior: Watermark | None,
     seqs: list[int],
-    schema: T.StructType | None = None,
 ) -> Watermark | None:
     """Fold the mark from the landed rows themselves, so it never covers a row that was not landed."""
     key = _key(spec)
-    rows = batches(spark, layout.landing(spec.name), seqs, schema)
+    landing = layout.landing(spec.name)
+    rows = batches(spark, landing, seqs, landed_schema(spark, landing, seqs[-1]))
     before = (prior.value, prior.unique) if prior else None
     value, unique = advance_watermark(rows, UPDATED_AT, key, before).first()
     state = layout.state("extract", spec.name)
@@ -90,28 +92,42 @@ def run_extract(spark: SparkSession, spec: TableSpec, layout: Layout) -> int:
         fresh = fresh.hint("rebalance", F.col(key or UPDATED_AT))
     rows = land(fresh, landing, seq)
     if rows:
-        _advance(spark, spec, layout, mark, [seq], fresh.schema)
+        _advance(spark, spec, layout, mark, [seq])
     return rows
 
 
 def load_versions(
-    spark: SparkSession, layout: Layout, table: str, last_version: int | None, upto: int
+    spark: SparkSession,
+    layout: Layout,
+    table: str,
+    last_version: int | None,
+    upto: int,
+    sink: JdbcSink | None = None,
 ) -> int:
     """Copy the table versions in ``last_version < v <= upto`` into the warehouse under its contract.
 
-    One version is one job into its own directory: a retry replaces it, and rows keep the file order
-    the cleaning step gave them, which a partitioned write would sort away. Returns the rows loaded.
+    One version is one job into its own directory, which keeps the file order the cleaning step gave
+    its rows; several run side by side. A version that is committed already is not written again, so a
+    retry takes nothing away from readers. With a ``sink`` the versions written by this run also go to
+    a table of an external database. Returns the rows loaded.
     """
     name = clean_name(table)
-    rows = 0
-    for v in committed_versions(spark, layout.table(name), last_version):
-        if v <= upto:
-            fresh = to_naive_utc(read_version(spark, layout.table(name), v))
-            rows += append_version(conform(fresh, name), layout.warehouse(name), v)
-    return rows
+    source, target = layout.table(name), layout.warehouse(name)
+    done = set(committed_versions(spark, target))
+
+    def load(v: int) -> int:
+        if v in done:
+            return commit(spark, target, VERSION, v)["rows"]
+        rows = conform(to_naive_utc(read_versions(spark, source, [v])), name)
+        if sink:
+            write_jdbc(rows, sink, name)
+        return append_version(rows, target, v)
+
+    wanted = [v for v in committed_versions(spark, source, last_version) if v <= upto]
+    return sum(run_stage(load, wanted[:1])) + sum(run_stage(load, wanted[1:], parallel=4))
 
 
-def run_load(spark: SparkSession, table: str, layout: Layout) -> int:
+def run_load(spark: SparkSession, table: str, layout: Layout, sink: JdbcSink | None = None) -> int:
     """Load new table versions, refresh the marts they feed, then record progress."""
     name = clean_name(table)
     current = current_version(spark, layout.table(name))
@@ -122,9 +138,8 @@ def run_load(spark: SparkSession, table: str, layout: Layout) -> int:
     last = progress.last_version if progress else None
     if last is not None and current <= last:
         return 0
-    rows = load_versions(spark, layout, name, last, current)
-    for mart in marts_of(name):
-        refresh_mart(spark, layout, mart, last)
+    rows = load_versions(spark, layout, name, last, current, sink)
+    refresh_marts(spark, layout, name)
     write_progress(spark, state, name, CONTRACTS[name].key, current, rows)
     return rows
 
@@ -151,11 +166,14 @@ def run_stage(stage: Callable[[S], int], tables: Iterable[S], parallel: int = 1)
 
 
 def check_specs(specs: list[TableSpec]) -> None:
-    """Reject tables named twice, and tables of two schemas that would share one clean name."""
-    names = [clean_name(s.name) for s in specs]
-    clash = sorted({n for n in names if names.count(n) > 1})
-    if clash:
-        raise ValueError(f"tables share a name: {', '.join(clash)}")
+    """Reject tables that would share a folder: named twice, or alike but for dots and schemas."""
+    layout = Layout("")
+    owners: dict[str, str] = {}
+    for i, spec in enumerate(specs):
+        for path in layout.paths_of(spec.name):
+            if path in owners:
+                raise ValueError(f"tables {owners[path]} and {spec.name} share the folder {path}")
+        owners |= dict.fromkeys(layout.paths_of(spec.name), f"{spec.name} ({i})")
 
 
 def run_pipeline(

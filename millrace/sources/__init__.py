@@ -1,4 +1,4 @@
-from millrace.sources.landing import land, landed, landed_schema, scan_landing
+from millrace.sources.landing import land, land_files, landed, landed_schema, scan_landing, scan_new_files
 from millrace.sources.layout import Layout, clean_name
 from millrace.sources.progress import (
     read_progress,
@@ -6,20 +6,28 @@ from millrace.sources.progress import (
     write_progress,
     write_watermark,
 )
-from millrace.sources.relation import JdbcSource, TableSpec, scan_full, scan_query, source_relation
+from millrace.sources.relation import (
+    JdbcSink,
+    JdbcSource,
+    TableSpec,
+    scan_full,
+    scan_query,
+    source_relation,
+    write_jdbc,
+)
 from millrace.sources.versioned import (
     added_since,
     append_version,
     as_of,
     committed_versions,
     current_version,
-    read_version,
-    version_paths,
+    read_versions,
     versions,
     with_version,
 )
 
 __all__ = [
+    "JdbcSink",
     "JdbcSource",
     "Layout",
     "TableSpec",
@@ -30,18 +38,20 @@ __all__ = [
     "committed_versions",
     "current_version",
     "land",
+    "land_files",
     "landed",
     "landed_schema",
     "read_progress",
-    "read_version",
+    "read_versions",
     "read_watermark",
     "scan_full",
     "scan_landing",
+    "scan_new_files",
     "scan_query",
     "source_relation",
-    "version_paths",
     "versions",
     "with_version",
+    "write_jdbc",
     "write_progress",
     "write_watermark",
 ]

@@ -1,25 +1,21 @@
 """Numbered output directories on any Hadoop file system.
 
-Every batch, version and state record is one directory ``{label}={n}``. Its number follows from what
-was committed before, so a retried job overwrites its own directory; Spark's ``_SUCCESS`` file marks
-it complete. Only directory names are listed here, never data.
+Every batch, version and mart part is one directory ``{label}={n}``. It counts from the moment its
+commit record ``_committed/{label}={n}`` exists, which is written after the data and never again: the
+record holds the rows and the schema, so readers open no footer to learn them. What has no record is
+seen by no reader and is overwritten by a retry; what has one is never touched.
 """
 
 from __future__ import annotations
 
-import threading
+import json
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
 
 from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-# Fixed value: the setting that makes a finished job leave its marker; some clusters turn it off.
-MARK_SUCCESS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-# Fixed value: stored bytes one shuffle partition should take.
-BYTES_PER_PARTITION = 1 << 30
-SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+COMMITS = "_committed"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,56 +30,83 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none where there is no folder."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def write_json(spark: SparkSession, path: str, record: dict) -> None:
+    """Write a small record whole or not at all; no Spark job runs."""
+    fs, target = _fs(spark, path)
+    _, beside = _fs(spark, f"{path.rpartition('/')[0]}/.{uuid.uuid4().hex}")
+    out = fs.create(beside)
+    out.write(bytearray(json.dumps(record).encode()))
+    out.close()
+    if not fs.rename(beside, target):
+        fs.delete(target, False)
+        if not fs.rename(beside, target):
+            raise OSError(f"could not write {path}")
+
+
+def read_json(spark: SparkSession, path: str) -> dict:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    record = json.loads(text)
+    if not isinstance(record, dict):
+        raise ValueError(f"no record in {path}")
+    return record
+
+
 def numbered(path: str, label: str, n: int) -> str:
     return f"{path}/{label}={n}"
 
 
 def committed(spark: SparkSession, path: str, label: str, after: int | None = None) -> list[int]:
-    """Complete numbers above ``after`` under ``path``, ascending.
-
-    The success marker is looked up only for those numbers, so a long history costs one listing.
-    """
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return []
+    """Committed numbers above ``after`` under ``path``, ascending, from one listing of the records."""
     prefix = f"{label}="
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix) and name[len(prefix) :].isdigit():
-            n = int(name[len(prefix) :])
-            if after is None or n > after:
-                found.append(n)
-    return [n for n in sorted(found) if exists(spark, f"{numbered(path, label, n)}/_SUCCESS")]
+    names = [n[len(prefix) :] for n in names_in(spark, f"{path}/{COMMITS}") if n.startswith(prefix)]
+    return sorted(int(n) for n in names if n.isdigit() and (after is None or int(n) > after))
 
 
 def newest(spark: SparkSession, path: str, label: str) -> int | None:
-    """Highest complete number, or ``None``; looks up markers from the top down."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return None
-    prefix = f"{label}="
-    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
-    numbers = [int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit()]
-    for n in sorted(numbers, reverse=True):
-        if exists(spark, f"{numbered(path, label, n)}/_SUCCESS"):
-            return n
-    return None
+    """Highest committed number, or ``None``."""
+    return max(committed(spark, path, label), default=None)
+
+
+def commit(spark: SparkSession, path: str, label: str, n: int) -> dict:
+    """The commit record of one number: ``rows``, ``schema`` and what its writer added."""
+    return read_json(spark, numbered(f"{path}/{COMMITS}", label, n))
 
 
-def write_numbered(df: DataFrame, path: str, label: str, n: int) -> int:
-    """Write ``df`` as one numbered Parquet directory and return its row count.
+def committed_schema(spark: SparkSession, path: str, label: str, n: int) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit(spark, path, label, n)["schema"]))
+
+
+def write_numbered(
+    df: DataFrame, path: str, label: str, n: int, empty: bool = False, **extra: object
+) -> int:
+    """Write ``df`` as one numbered Parquet directory, commit it, and return its row count.
 
     Rows are counted in the footers of the files just written: the plan runs once, and the count holds
     whatever tasks were repeated. (An observed metric comes through the listener bus, which drops events
-    on a busy cluster.) A directory without rows is taken away again.
+    on a busy cluster.) Without rows nothing is left behind, unless ``empty`` is asked for.
     """
     spark, target = df.sparkSession, numbered(path, label, n)
-    df.write.mode("overwrite").option(MARK_SUCCESS, "true").parquet(target)
+    if n in committed(spark, path, label):
+        raise FileExistsError(f"{target} is committed")
+    df.write.mode("overwrite").parquet(target)
     rows = spark.read.schema(df.schema).parquet(target).count()
-    if rows == 0:
+    if rows == 0 and not empty:
         fs, p = _fs(spark, target)
         fs.delete(p, True)
+        return 0
+    record = {"rows": rows, "schema": df.schema.json(), **extra}
+    write_json(spark, numbered(f"{path}/{COMMITS}", label, n), record)
     return rows
 
 
@@ -94,47 +117,3 @@ def session_dir(spark: SparkSession, parent: str) -> str:
     fs.mkdirs(p)
     fs.deleteOnExit(p)
     return path
-
-
-def size_of(spark: SparkSession, paths: Iterable[str]) -> int:
-    """Stored bytes below ``paths``."""
-    total = 0
-    for path in paths:
-        fs, p = _fs(spark, path)
-        total += fs.getContentSummary(p).getLength()
-    return total
-
-
-_sizing = threading.Lock()
-# Partition counts asked for by jobs now running, and the configured one, per session.
-_wanted: dict[int, list[int]] = {}
-_configured: dict[int, str] = {}
-
-
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, stored_bytes: int) -> Iterator[None]:
-    """Run jobs with enough shuffle partitions for their input, never fewer than configured.
-
-    Adaptive execution joins partitions that turn out small but cannot split a hash or range shuffle
-    that was planned too coarse, as one backfill of a long history would be under a daily setting.
-    Jobs side by side in one session share the largest count any of them needs.
-    """
-    needed, session = -(-stored_bytes // BYTES_PER_PARTITION), id(spark)
-    with _sizing:
-        if session not in _wanted:
-            _wanted[session], _configured[session] = [], spark.conf.get(SHUFFLE_PARTITIONS)
-        _wanted[session].append(needed)
-        _apply(spark)
-    try:
-        yield
-    finally:
-        with _sizing:
-            _wanted[session].remove(needed)
-            _apply(spark)
-            if not _wanted[session]:
-                del _wanted[session], _configured[session]
-
-
-def _apply(spark: SparkSession) -> None:
-    counts = [int(_configured[id(spark)]), *_wanted[id(spark)]]
-    spark.conf.set(SHUFFLE_PARTITIONS, str(max(counts)))

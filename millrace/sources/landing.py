@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millrace.sources.files import committed, numbered, write_numbered
+from millrace.operators.checks import require_same_schema
+from millrace.sources.files import commit, committed, committed_schema, numbered, write_numbered
 
 SEQ = "seq"
 
@@ -15,28 +16,45 @@ def land(df: DataFrame, path: str, seq: int) -> int:
     return write_numbered(df, path, SEQ, seq)
 
 
+def land_files(spark: SparkSession, files: list[str], path: str) -> int:
+    """Take Parquet files of another tool in as the next batch. Nothing else enters the landing zone."""
+    after = landed(spark, path)
+    return land(spark.read.parquet(*files), path, after[-1] + 1 if after else 0)
+
+
 def landed(spark: SparkSession, path: str, after: int | None = None) -> list[int]:
-    """Numbers of complete batches above ``after``, ascending."""
+    """Numbers of committed batches above ``after``, ascending."""
     return committed(spark, path, SEQ, after)
 
 
 def landed_schema(spark: SparkSession, path: str, seq: int) -> T.StructType:
-    return spark.read.parquet(numbered(path, SEQ, seq)).schema
+    return committed_schema(spark, path, SEQ, seq)
+
+
+def landed_rows(spark: SparkSession, path: str, seqs: list[int]) -> int:
+    """Rows of the given batches, from their commit records."""
+    return sum(commit(spark, path, SEQ, s)["rows"] for s in seqs)
+
+
+def batches(spark: SparkSession, path: str, seqs: list[int], schema: T.StructType) -> DataFrame:
+    """Rows of the given batches; no other directory is listed, no footer opened for the schema."""
+    return spark.read.schema(schema).parquet(*[numbered(path, SEQ, s) for s in seqs])
 
 
-def batches(
-    spark: SparkSession, path: str, seqs: list[int], schema: T.StructType | None = None
-) -> DataFrame:
-    """Rows of the given batches; no other directory is listed, and a known schema opens no footer."""
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(*[numbered(path, SEQ, s) for s in seqs])
+def scan_new_files(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:
+    """Rows of the committed batches above ``after``, which must share one schema."""
+    seqs = landed(spark, path, after)
+    if not seqs:
+        known = landed(spark, path)
+        if not known:
+            raise FileNotFoundError(f"no landed batch in {path}")
+        return batches(spark, path, known[-1:], landed_schema(spark, path, known[-1])).limit(0)
+    schema = landed_schema(spark, path, seqs[-1])
+    for seq in seqs[:-1]:
+        require_same_schema(schema, landed_schema(spark, path, seq), f"landed batch {seq}")
+    return batches(spark, path, seqs, schema)
 
 
-def scan_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All landed Parquet files at any depth below ``path``."""
-    return (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(path)
-    )
+def scan_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of all committed batches. Files that no batch committed are not read."""
+    return scan_new_files(spark, path)

@@ -23,9 +23,14 @@ class Layout:
     def warehouse(self, table: str) -> str:
         return f"{self.root}/warehouse/{clean_name(table)}"
 
-    def mart(self, mart: str, mode: str = "append") -> str:
-        return f"{self.root}/marts_{mode}/{mart}"
+    def mart(self, mart: str, mode: str, build: int) -> str:
+        return f"{self.root}/marts_{mode}/{mart}/build={build}"
 
     def state(self, stage: str, table: str) -> str:
         name = table.replace(".", "_") if stage == "extract" else clean_name(table)
         return f"{self.root}/state/{stage}/{name}"
+
+    def paths_of(self, table: str) -> list[str]:
+        """Every folder that belongs to one source table."""
+        stages = ("extract", "transform", "intent", "load")
+        return [self.landing(table), self.table(table), self.warehouse(table), *[self.state(s, table) for s in stages]]

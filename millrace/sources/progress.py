@@ -1,26 +1,13 @@
-"""Progress records: one-row JSON directories, append-only, newest number wins."""
+"""Progress records: one small JSON file each, append-only, newest number wins."""
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, Row, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 
-from millrace.operators.watermark import mark_literal
-from millrace.sources.files import MARK_SUCCESS, newest, numbered
-
-SEQ = "seq"
-# Fixed value: the default JSON pattern would cut the mark to milliseconds.
-NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-WATERMARK_FIELDS = (
-    "table string, incremental_column string, unique_column string, "
-    "last_value timestamp_ntz, last_unique string, updated_at string"
-)
-FILES_FIELDS = "table string, last_seq long, batches long, rows long, updated_at string"
-LOAD_FIELDS = "table string, unique_key string, last_version long, rows long, updated_at string"
+from millrace.sources.files import names_in, read_json, write_json
 
 
 class Watermark(NamedTuple):
@@ -29,37 +16,58 @@ class Watermark(NamedTuple):
     unique: str | None
 
 
-def _write(spark: SparkSession, path: str, seq: int, fields: dict[str, Column]) -> None:
-    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), NTZ_FORMAT)
-    record = spark.range(1, numPartitions=1).select(
-        *[c.alias(name) for name, c in fields.items()], now.alias("updated_at")
-    )
-    target = numbered(path, SEQ, seq)
-    writer = record.write.mode("overwrite").option(MARK_SUCCESS, "true")
-    writer.option("timestampNTZFormat", NTZ_FORMAT).json(target)
+class Intent(NamedTuple):
+    """What a transform run set out to do: which landed batches become which version."""
+
+    version: int
+    seqs: list[int]
+
+
+class Load(NamedTuple):
+    table: str
+    unique_key: str
+    last_version: int
+    rows: int
+
+
+def record_path(path: str, number: int) -> str:
+    return f"{path}/{number}.json"
+
 
+def write_record(spark: SparkSession, path: str, number: int, **fields: object) -> None:
+    """Add a record; ``updated_at`` is the time of the run in UTC."""
+    now = datetime.now(UTC).replace(tzinfo=None)
+    write_json(spark, record_path(path, number), {**fields, "updated_at": now.isoformat(timespec="microseconds")})
 
-def _read(spark: SparkSession, path: str, fields: str) -> tuple[int, Row] | None:
-    seq = newest(spark, path, SEQ)
-    if seq is None:
+
+def read_record(spark: SparkSession, path: str, *needed: str) -> tuple[int, dict] | None:
+    """Number and fields of the newest record, or ``None`` before the first."""
+    names = [n.removesuffix(".json") for n in names_in(spark, path) if n.endswith(".json")]
+    numbers = [int(n) for n in names if n.isdigit()]
+    if not numbers:
         return None
-    # Text that does not parse reads as NULL; callers reject a record without its main value.
-    reader = spark.read.schema(fields).option("timestampNTZFormat", NTZ_FORMAT)
-    row = reader.json(numbered(path, SEQ, seq)).first()
-    if row is None:
-        raise ValueError(f"empty progress record {numbered(path, SEQ, seq)}")
-    return seq, row
+    number = max(numbers)
+    try:
+        record = read_json(spark, record_path(path, number))
+    except ValueError as e:
+        raise ValueError(f"progress record {record_path(path, number)} is not a record") from e
+    missing = [f for f in needed if record.get(f) is None]
+    if missing:
+        raise ValueError(f"progress record {record_path(path, number)} has no {', '.join(missing)}")
+    return number, record
 
 
 def read_watermark(spark: SparkSession, path: str) -> Watermark | None:
     """Newest extract mark, or ``None`` before the first run."""
-    found = _read(spark, path, WATERMARK_FIELDS)
+    found = read_record(spark, path, "last_value")
     if found is None:
         return None
-    seq, row = found
-    if row.last_value is None:
-        raise ValueError(f"progress record {numbered(path, SEQ, seq)} has no valid last_value")
-    return Watermark(seq, row.last_value, row.last_unique)
+    seq, record = found
+    try:
+        value = datetime.fromisoformat(record["last_value"])
+    except (TypeError, ValueError) as e:
+        raise ValueError(f"progress record {record_path(path, seq)} has no valid last_value") from e
+    return Watermark(seq, value, record.get("last_unique"))
 
 
 def write_watermark(
@@ -73,55 +81,64 @@ def write_watermark(
     unique: object | None,
 ) -> None:
     """Record the mark after batch ``seq``; without a value nothing is written."""
-    if value is None:
-        return
-    fields = {
-        "table": F.lit(table),
-        "incremental_column": F.lit(column),
-        "unique_column": F.lit(key).cast("string"),
-        "last_value": mark_literal(value, T.TimestampNTZType()),
-        "last_unique": F.lit(unique).cast("string"),
-    }
-    _write(spark, path, seq, fields)
+    if value is not None:
+        write_record(
+            spark,
+            path,
+            seq,
+            table=table,
+            incremental_column=column,
+            unique_column=key,
+            last_value=value.isoformat(timespec="microseconds"),
+            last_unique=None if unique is None else str(unique),
+        )
 
 
 def read_last_seq(spark: SparkSession, path: str) -> int | None:
     """Highest landed batch that became part of the table, or ``None`` before the first."""
-    found = _read(spark, path, FILES_FIELDS)
-    return None if found is None else found[0]
+    found = read_record(spark, path, "last_seq")
+    return None if found is None else found[1]["last_seq"]
 
 
 def write_last_seq(
-    spark: SparkSession, path: str, table: str, last_seq: int, batches: int, rows: int
+    spark: SparkSession, path: str, table: str, intent: Intent, raw_rows: int, clean_rows: int
 ) -> None:
-    """Record that landed batches up to ``last_seq`` are in the table."""
-    fields = {
-        "table": F.lit(table),
-        "last_seq": F.lit(last_seq).cast("long"),
-        "batches": F.lit(batches).cast("long"),
-        "rows": F.lit(rows).cast("long"),
-    }
-    _write(spark, path, last_seq, fields)
+    """Record that an intent is done: its batches are in the table, with this many rows before and after."""
+    write_record(
+        spark,
+        path,
+        intent.seqs[-1],
+        table=table,
+        last_seq=intent.seqs[-1],
+        seqs=intent.seqs,
+        version=intent.version,
+        raw_rows=raw_rows,
+        clean_rows=clean_rows,
+    )
+
+
+def read_intent(spark: SparkSession, path: str) -> Intent | None:
+    found = read_record(spark, path, "version", "seqs")
+    return None if found is None else Intent(found[1]["version"], found[1]["seqs"])
 
 
-def read_progress(spark: SparkSession, path: str) -> Row | None:
+def write_intent(spark: SparkSession, path: str, intent: Intent) -> None:
+    write_record(spark, path, intent.version, version=intent.version, seqs=intent.seqs)
+
+
+def read_progress(spark: SparkSession, path: str) -> Load | None:
     """Newest load record, or ``None`` before the first load."""
-    found = _read(spark, path, LOAD_FIELDS)
+    found = read_record(spark, path, "last_version")
     if found is None:
         return None
-    if found[1].last_version is None:
-        raise ValueError(f"progress record {found[0]} in {path} has no last_version")
-    return found[1]
+    record = found[1]
+    return Load(record["table"], record["unique_key"], record["last_version"], record["rows"])
 
 
 def write_progress(
     spark: SparkSession, path: str, table: str, unique_key: str, last_version: int, rows: int
 ) -> None:
     """Record that versions up to ``last_version`` are loaded."""
-    fields = {
-        "table": F.lit(table),
-        "unique_key": F.lit(unique_key),
-        "last_version": F.lit(last_version).cast("long"),
-        "rows": F.lit(rows).cast("long"),
-    }
-    _write(spark, path, last_version, fields)
+    write_record(
+        spark, path, last_version, table=table, unique_key=unique_key, last_version=last_version, rows=rows
+    )

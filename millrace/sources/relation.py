@@ -13,6 +13,8 @@ from millrace.functions.time import micros_to_ntz
 
 # Fixed value: rows per fetch.
 FETCH_SIZE = 100_000
+# Fixed value: rows per insert batch.
+BATCH_SIZE = 100_000
 LOOK_BACK = timedelta(days=1)
 
 
@@ -20,13 +22,27 @@ LOOK_BACK = timedelta(days=1)
 class JdbcSource:
     """Connection options of ``spark.read.format("jdbc")`` and how to split the read.
 
-    With ``num_partitions`` above one the read is cut into ranges of ``partition_column``, by default
-    the watermark column. Where very many rows share one timestamp, name a numeric key instead.
+    The read is cut into ``num_partitions`` ranges of ``partition_column``, by default the watermark
+    column; there is no default for their number, since one range is one task and one connection for
+    the whole table. Where very many rows share one timestamp, name a numeric key instead.
     """
 
     options: dict[str, str] = field(default_factory=dict)
     partition_column: str | None = None
-    num_partitions: int = 1
+    num_partitions: int = 0
+
+    def __post_init__(self):
+        if self.num_partitions < 1:
+            raise ValueError("say in how many partitions a JDBC table is read (1 for a small one)")
+
+
+@dataclass(frozen=True)
+class JdbcSink:
+    """Connection options of ``df.write.format("jdbc")``; each task writes over its own connection."""
+
+    options: dict[str, str] = field(default_factory=dict)
+    num_partitions: int = 8
+    schema: str | None = None
 
 
 @dataclass(frozen=True)
@@ -39,10 +55,15 @@ class TableSpec:
     jdbc: JdbcSource | None = None
 
 
+def quoted(name: str) -> str:
+    """Each part of a dotted name in double quotes, which databases take as it is."""
+    return ".".join('"' + part.replace('"', '""') + '"' for part in name.split("."))
+
+
 def select_text(spec: TableSpec) -> str:
     if spec.query:
         return spec.query.strip().rstrip(";").rstrip()
-    return f"SELECT * FROM {spec.name}"
+    return f"SELECT * FROM {quoted(spec.name) if spec.jdbc else spec.name}"
 
 
 def _derived(text: str) -> str:
@@ -55,10 +76,21 @@ def _jdbc(spark: SparkSession, jdbc: JdbcSource, dbtable: str, **extra: object)
     return spark.read.format("jdbc").options(**options).load()
 
 
+def write_jdbc(df: DataFrame, sink: JdbcSink, table: str) -> None:
+    """Append rows to a database table in batches.
+
+    A task that is repeated after a lost executor inserts its rows again, and so does a load that
+    stopped before it committed: give the table a key that ignores repeats, or merge on read.
+    """
+    name = quoted(f"{sink.schema}.{table}" if sink.schema else table)
+    options = {"batchsize": BATCH_SIZE, "numPartitions": sink.num_partitions, **sink.options, "dbtable": name}
+    df.write.format("jdbc").options(**options).mode("append").save()
+
+
 def scan_full(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """The whole source table, unfiltered and unordered."""
     if spec.jdbc:
-        return _jdbc(spark, spec.jdbc, spec.name)
+        return _jdbc(spark, spec.jdbc, quoted(spec.name))
     return spark.table(spec.name)
 
 
@@ -79,8 +111,8 @@ def bounds_text(spec: TableSpec, column: str, since: datetime | None) -> str:
     It looks back a day past ``since``: a database compares the literal in its own session zone when
     the column is zoned, and rows that are not new do no harm here.
     """
-    split = spec.jdbc.partition_column or column
-    where = ""
+    split = quoted(spec.jdbc.partition_column or column)
+    column, where = quoted(column), ""
     if since is not None:
         where = f" WHERE {column} >= TIMESTAMP '{(since - LOOK_BACK).isoformat(sep=' ')}'"
     return (

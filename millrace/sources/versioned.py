@@ -1,4 +1,4 @@
-"""Append-only versioned tables: Parquet partitioned by ``_delta_version``."""
+"""Append-only versioned tables: one committed Parquet directory per version."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.checks import require_same_schema
 from millrace.operators.states import VERSION
-from millrace.sources.files import committed, newest, numbered, write_numbered
+from millrace.sources.files import committed, committed_schema, newest, numbered, write_numbered
 
 
 def with_version(df: DataFrame, v: int) -> DataFrame:
@@ -25,61 +25,55 @@ def current_version(spark: SparkSession, path: str) -> int | None:
 
 
 def versions(spark: SparkSession, path: str) -> DataFrame:
-    """Committed versions as rows, ascending. Comes from directory names; no data file is opened."""
+    """Committed versions as rows, ascending. Comes from record names; no data file is opened."""
     rows = [(v,) for v in committed_versions(spark, path)]
     return spark.createDataFrame(rows, f"{VERSION} long")
 
 
-def _file_schema(spark: SparkSession, path: str, v: int) -> T.StructType:
-    return spark.read.parquet(numbered(path, VERSION, v)).schema
+def table_schema(spark: SparkSession, path: str, v: int) -> T.StructType:
+    """Schema a version was committed with, without the version column."""
+    return committed_schema(spark, path, VERSION, v)
 
 
 def append_version(df: DataFrame, path: str, v: int) -> int:
     """Write ``df`` as version ``v`` and return its row count; no rows make no version.
 
-    Writing the same version again replaces it. The schema must equal the table's.
+    A version without commit record is replaced, a committed one is not. The schema must equal the
+    table's.
     """
     spark = df.sparkSession
     df = df.drop(VERSION)
     current = current_version(spark, path)
     if current is not None:
-        require_same_schema(_file_schema(spark, path, current), df.schema, f"version {v} of {path}")
+        require_same_schema(table_schema(spark, path, current), df.schema, f"version {v} of {path}")
     return write_numbered(df, path, VERSION, v)
 
 
-def read_version(spark: SparkSession, path: str, v: int) -> DataFrame:
-    """Rows of one version."""
-    return with_version(spark.read.parquet(numbered(path, VERSION, v)), v)
-
-
-def version_paths(path: str, numbers: list[int]) -> list[str]:
-    return [numbered(path, VERSION, v) for v in numbers]
-
-
-def _require_current(spark: SparkSession, path: str) -> int:
-    current = current_version(spark, path)
-    if current is None:
-        raise FileNotFoundError(f"no committed version in {path}")
-    return current
-
-
 def _read(
-    spark: SparkSession, path: str, current: int, schema: T.StructType | None, dirs: list[str]
+    spark: SparkSession, path: str, wanted: list[int], current: int, schema: T.StructType | None
 ) -> DataFrame:
+    """Rows of the wanted versions, whose directories alone are listed; none of them is no row."""
     # The version column is declared long: inference would make it int.
-    fields = (schema or _file_schema(spark, path, current)).fields
+    fields = (schema or table_schema(spark, path, current)).fields
     columns = [f for f in fields if f.name != VERSION]
     full = T.StructType([*columns, T.StructField(VERSION, T.LongType())])
-    return spark.read.schema(full).option("basePath", path).parquet(*dirs)
+    dirs = [numbered(path, VERSION, v) for v in wanted or [current]]
+    rows = spark.read.schema(full).option("basePath", path).parquet(*dirs)
+    return rows if wanted else rows.limit(0)
+
+
+def read_versions(
+    spark: SparkSession, path: str, wanted: list[int], schema: T.StructType | None = None
+) -> DataFrame:
+    """Rows of the given committed versions."""
+    return _read(spark, path, wanted, wanted[-1], schema)
 
 
 def as_of(
     spark: SparkSession, path: str, v: int | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Rows of versions up to ``v``, by default up to the newest committed one."""
-    current = _require_current(spark, path)
-    upto = current if v is None else min(v, current)
-    return _read(spark, path, current, schema, [path]).filter(F.col(VERSION) <= upto)
+    """Rows of committed versions up to ``v``, by default of all."""
+    return added_since(spark, path, None, v, schema)
 
 
 def added_since(
@@ -94,11 +88,8 @@ def added_since(
     Only the directories of those versions are listed, so the cost follows the new data and not the
     length of the history.
     """
-    current = _require_current(spark, path)
-    end = current if upto is None else min(upto, current)
-    if last_version is None:
-        return as_of(spark, path, end, schema)
-    fresh = [v for v in committed_versions(spark, path, last_version) if v <= end]
-    dirs = version_paths(path, fresh or [current])
-    rows = _read(spark, path, current, schema, dirs)
-    return rows if fresh else rows.limit(0)
+    known = committed_versions(spark, path)
+    if not known:
+        raise FileNotFoundError(f"no committed version in {path}")
+    wanted = [v for v in known if (last_version is None or v > last_version) and (upto is None or v <= upto)]
+    return _read(spark, path, wanted, known[-1], schema)

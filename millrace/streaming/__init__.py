@@ -1,3 +1,3 @@
-from millrace.streaming.ingest import run_transform, scan_new_files
+from millrace.streaming.ingest import run_transform
 
-__all__ = ["run_transform", "scan_new_files"]
+__all__ = ["run_transform"]

@@ -1,64 +1,60 @@
-"""Landing files to table versions with Structured Streaming."""
+"""Landed batches to table versions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import SparkSession
 
 from millrace.operators.checks import require_same_schema
 from millrace.operators.clean import clean
-from millrace.sources.files import numbered, shuffles_sized_for, size_of
-from millrace.sources.landing import SEQ, landed, landed_schema
+from millrace.operators.states import VERSION
+from millrace.sources.files import commit
+from millrace.sources.landing import batches, landed, landed_rows, landed_schema
 from millrace.sources.layout import Layout, clean_name
-from millrace.sources.progress import read_last_seq, write_last_seq
-from millrace.sources.versioned import append_version
-
-# Fixed value: no landed file is ever too old to be read; the default would skip unseen files that are
-# a week older than the newest one.
-MAX_FILE_AGE = "36500d"
-
-
-def scan_new_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stream of landed files the query's checkpoint has not seen yet."""
-    return (
-        spark.readStream.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .option("maxFileAge", MAX_FILE_AGE)
-        .parquet(path)
-    )
+from millrace.sources.progress import (
+    Intent,
+    read_intent,
+    read_last_seq,
+    write_intent,
+    write_last_seq,
+)
+from millrace.sources.versioned import append_version, committed_versions
+
+
+def _intent(spark: SparkSession, table: str, layout: Layout) -> Intent | None:
+    """What this run has to do: a stopped run's intent, or all batches landed since the last one."""
+    last = read_last_seq(spark, layout.state("transform", table))
+    path = layout.state("intent", table)
+    open_ = read_intent(spark, path)
+    if open_ and (last is None or open_.seqs[-1] > last):
+        return open_
+    seqs = landed(spark, layout.landing(table), last)
+    if not seqs:
+        return None
+    known = committed_versions(spark, layout.table(table))
+    fresh = Intent(known[-1] + 1 if known else 0, seqs)
+    write_intent(spark, path, fresh)
+    return fresh
 
 
 def run_transform(spark: SparkSession, table: str, layout: Layout) -> int:
-    """Clean all unseen landing files as one batch and append it as the next table version.
+    """Clean all batches landed since the last run as one batch and append it as the next table version.
 
-    The version is the batch number. The checkpoint fixes the batch's files before work begins, so a
-    batch that is retried after a crash writes the same rows over its own version. Duplicates are
-    dropped inside the batch only. Returns the rows appended.
+    The batches and the version are written down first, so a run that stopped is repeated with the same
+    ones: a version it had not committed is written again, one it had is only recorded. Only committed
+    batches are read, and no older one is listed. Duplicates are dropped inside the version only. The
+    record keeps the rows before and after cleaning. Returns the rows appended.
     """
     landing, target = layout.landing(table), layout.table(table)
-    state = layout.state("transform", table)
-    seqs = landed(spark, landing, read_last_seq(spark, state))
-    if not seqs:
+    intent = _intent(spark, table, layout)
+    if intent is None:
         return 0
-    schema = landed_schema(spark, landing, seqs[-1])
-    for seq in seqs[:-1]:
-        require_same_schema(schema, landed_schema(spark, landing, seq), f"landed batch {seq}")
-    stored = size_of(spark, [numbered(landing, SEQ, s) for s in seqs])
-    counts: list[int] = []
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        with shuffles_sized_for(batch.sparkSession, stored):
-            counts.append(append_version(clean(batch), target, batch_id))
-
-    query = (
-        scan_new_files(spark, landing, schema)
-        .writeStream.foreachBatch(append)
-        .trigger(availableNow=True)
-        .option("checkpointLocation", layout.state("checkpoint", table))
-        .start()
-    )
-    query.awaitTermination()
-    rows = sum(counts)
-    write_last_seq(spark, state, clean_name(table), seqs[-1], len(seqs), rows)
+    if intent.version in committed_versions(spark, target):
+        rows = commit(spark, target, VERSION, intent.version)["rows"]
+    else:
+        schema = landed_schema(spark, landing, intent.seqs[-1])
+        for seq in intent.seqs[:-1]:
+            require_same_schema(schema, landed_schema(spark, landing, seq), f"landed batch {seq}")
+        rows = append_version(clean(batches(spark, landing, intent.seqs, schema)), target, intent.version)
+    raw = landed_rows(spark, landing, intent.seqs)
+    write_last_seq(spark, layout.state("transform", table), clean_name(table), intent, raw, rows)
     return rows

@@ -29,7 +29,7 @@ def database(spark, monkeypatch):
             log["reads"].append(extra)
             if log["later"]:
                 put(log["later"].pop(0))
-        return spark.sql(f"select * from {dbtable}")
+        return spark.sql(f"select * from {dbtable}".replace('"', "`"))
 
     monkeypatch.setattr(relation, "_jdbc", jdbc)
     return put, log

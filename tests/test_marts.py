@@ -17,6 +17,7 @@ from millrace.plans import (
     Contract,
     build_mart,
     conform,
+    fold_mart,
     panel_anomaly,
     panel_machine,
     panel_production,
@@ -25,6 +26,7 @@ from millrace.plans import (
     read_mart,
     read_states,
     refresh_mart,
+    refresh_marts,
     time_range,
 )
 from millrace.sources import append_version
@@ -149,26 +151,33 @@ def load(log, layout, v):
 
 
 def test_refresh_by_version_equals_one_build_and_survives_replay(spark, log, layout):
-    for v, since in ((0, None), (1, 0)):
+    for v in (0, 1):
         load(log, layout, v)
         for name in ("mv_production_daily", "mv_machine_daily"):
-            refresh_mart(spark, layout, name, since)
-    refresh_mart(spark, layout, "mv_production_daily", 0)
+            refresh_mart(spark, layout, name)
+    refresh_mart(spark, layout, "mv_production_daily")
     for name in ("mv_production_daily", "mv_machine_daily"):
         stored = read_mart(spark, layout, name)
         assert stored.dtypes == aggregate(log, MARTS[name]).dtypes
         assert sorted(tuples(stored)) == sorted(tuples(aggregate(log, MARTS[name])))
     assert read_states(spark, layout, "mv_production_daily").count() == 3
+    fold_mart(spark, layout, "mv_production_daily")
+    assert read_states(spark, layout, "mv_production_daily").count() == 2
+    assert sorted(tuples(read_mart(spark, layout, "mv_production_daily"))) == sorted(
+        tuples(aggregate(log, MARTS["mv_production_daily"]))
+    )
+    refresh_mart(spark, layout, "mv_production_daily")
+    assert read_states(spark, layout, "mv_production_daily").count() == 2
 
 
 def test_version_without_mart_rows(spark, log, layout):
     path = layout.warehouse("fact_production_orders")
     rows = log.filter("machine_id is null").withColumn("_delta_version", F.lit(0).cast("long"))
     append_version(conform(rows, "fact_production_orders"), path, 0)
-    refresh_mart(spark, layout, "mv_machine_daily", None)
+    refresh_mart(spark, layout, "mv_machine_daily")
     assert read_mart(spark, layout, "mv_machine_daily").count() == 0
     load(log, layout, 1)
-    refresh_mart(spark, layout, "mv_machine_daily", 0)
+    refresh_mart(spark, layout, "mv_machine_daily")
     assert tuples(read_mart(spark, layout, "mv_machine_daily")) == [("M1", D1, 1, 100, 95)]
 
 
@@ -176,13 +185,39 @@ def test_several_versions_in_one_refresh(spark, log, layout):
     load(log, layout, 0)
     load(log, layout, 1)
     for _ in range(2):
-        refresh_mart(spark, layout, "mv_production_daily", None)
-    assert read_states(spark, layout, "mv_production_daily").count() == 3
+        refresh_mart(spark, layout, "mv_production_daily")
+    assert read_states(spark, layout, "mv_production_daily").count() == 2
+    assert sorted(tuples(read_mart(spark, layout, "mv_production_daily"))) == sorted(
+        tuples(aggregate(log, MARTS["mv_production_daily"]))
+    )
+
+
+def test_torn_part_and_torn_build_are_not_read(spark, log, layout):
+    load(log, layout, 0)
+    refresh_mart(spark, layout, "mv_production_daily")
+    before = tuples(read_mart(spark, layout, "mv_production_daily"))
+    part = read_states(spark, layout, "mv_production_daily")
+    for build in (0, 1):
+        part.write.parquet(f"{layout.mart('mv_production_daily', 'append', build)}/part=1")
+    assert tuples(read_mart(spark, layout, "mv_production_daily")) == before
+    load(log, layout, 1)
+    refresh_mart(spark, layout, "mv_production_daily")
     assert sorted(tuples(read_mart(spark, layout, "mv_production_daily"))) == sorted(
         tuples(aggregate(log, MARTS["mv_production_daily"]))
     )
 
 
+def test_latest_mart_follows_the_loads(spark, log, layout):
+    load(log, layout, 0)
+    build_mart(spark, layout, "mv_production_daily", mode="latest")
+    load(log, layout, 1)
+    refresh_marts(spark, layout, "fact_production_orders")
+    newest = latest_by_key(log, ["order_id"])
+    assert sorted(tuples(read_mart(spark, layout, "mv_production_daily", "latest"))) == sorted(
+        tuples(aggregate(newest, MARTS["mv_production_daily"]))
+    )
+
+
 def test_build_modes_and_replace(spark, log, layout):
     load(log, layout, 0)
     build_mart(spark, layout, "mv_production_daily")
@@ -214,6 +249,32 @@ def test_conform_checks(spark, readings):
         conform(readings.withColumn("reading_value", F.lit("ten")), name).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "column, value",
+    [
+        ("reading_value", "1.00005"),
+        ("reading_value", 1.00005),
+        ("reading_value", "ten"),
+        ("reading_id", 3.7),
+        ("reading_id", "3.7"),
+        ("is_anomaly", "perhaps"),
+        ("created_at", "yesterday"),
+    ],
+)
+def test_conform_never_rounds_or_drops(spark, readings, ansi, column, value):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(PySparkException):
+            conform(readings.withColumn(column, F.lit(value)), "fact_sensor_readings").collect()
+        good = readings.withColumn("reading_value", F.lit("1.0005")).withColumn("reading_id", F.lit(3.0))
+        row = conform(good.withColumn("created_at", F.lit("2024-01-01T00:00:00+02:00")), "fact_sensor_readings").first()
+        assert (row.reading_value, row.reading_id) == (Decimal("1.0005"), 3)
+        assert row.created_at == datetime(2023, 12, 31, 22)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_contracts_can_be_added(spark, monkeypatch):
     schema = T.StructType(
         [T.StructField("k", T.LongType(), False), T.StructField("share", T.DoubleType(), False)]

@@ -1,13 +1,11 @@
 """Physical plans: what is pushed down, what is shuffled, and how hot keys spread."""
 
-import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
-import millrace.sources.files as files
 from factory_views import view
 from millrace.operators import (
     advance_watermark,
@@ -16,7 +14,7 @@ from millrace.operators import (
     latest_by_key,
     scan_since,
 )
-from millrace.plans import build_mart, conform, panel_machine, read_states, time_range
+from millrace.plans import MARTS, build_mart, marts, conform, panel_machine, read_states, time_range
 from millrace.sources import append_version, as_of, land, with_version
 from millrace.streaming import run_transform
 
@@ -35,14 +33,14 @@ def line(text, start):
 
 LAZY = [
     n
-    for n in registry.queries()
+    for n in registry.table_queries()
     if n.startswith(("scan_since", "scan_full", "panel", "mart_s", "mart_a", "latest", "picker", "drop"))
 ]
 
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, name):
-    text = plan(registry.queries()[name](spark, SF))
+    text = plan(registry.table_queries()[name](spark, SF))
     for word in ("Python", "Pandas", "CartesianProduct", "NestedLoop", "Broadcast"):
         assert word not in text
 
@@ -59,17 +57,11 @@ def test_mark_reads_two_columns_and_sends_one_row_per_task(spark):
     assert "IsNotNull(o_orderdate)" in line(text, "PushedFilters") and "partial_max" in text
 
 
-def test_transform_plans_shuffles_for_its_input(spark, layout, monkeypatch):
-    monkeypatch.setattr(files, "BYTES_PER_PARTITION", 500)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        land(spark.range(2000), layout.landing("t"), 0)
-        assert run_transform(spark, "t", layout) == 2000
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    written = os.listdir(f"{layout.table('t')}/_delta_version=0")
-    assert len([f for f in written if f.endswith(".parquet")]) > 4
-    assert spark.conf.get(files.SHUFFLE_PARTITIONS) == "4"
+def test_no_run_changes_the_session(spark, layout):
+    before = dict(spark.conf.getAll)
+    land(spark.range(2000), layout.landing("t"), 0)
+    assert run_transform(spark, "t", layout) == 2000
+    assert dict(spark.conf.getAll) == before
 
 
 def test_work_folder_needs_a_shared_parent(spark, monkeypatch):
@@ -83,15 +75,27 @@ def test_work_folder_needs_a_shared_parent(spark, monkeypatch):
         registry.work_dir(Cluster)
 
 
-def test_version_filter_prunes_directories(spark, tmp_path):
+def test_only_wanted_versions_are_listed(spark, tmp_path):
     path = str(tmp_path / "t")
     for v in range(2):
         append_version(spark.range(3), path, v)
-    assert "_delta_version" in line(plan(as_of(spark, path, 0)), "PartitionFilters")
+    files = as_of(spark, path, 0).inputFiles()
+    assert files and all("_delta_version=0" in f for f in files)
+
+
+def test_latest_mart_reads_only_what_it_needs(spark, layout):
+    for v, name in enumerate(("fact_production_orders", "order_changes")):
+        rows = conform(with_version(view(spark, SF, name), v), "fact_production_orders")
+        append_version(rows, layout.warehouse("fact_production_orders"), v)
+    rows = marts._mart_rows(as_of(spark, layout.warehouse("fact_production_orders")), MARTS["mv_production_daily"])
+    text = plan(latest_by_key(rows, ["order_id"]))
+    read = line(text, "ReadSchema")
+    assert read.count(":") - 1 == 5  # key, two quantities, start and update time; the version is the folder
+    assert "product_sku" not in read and "status" not in read
 
 
 def test_mart_reads_only_its_columns_with_one_shuffle(spark):
-    text = plan(registry.queries()["mart_anomaly_daily"](spark, SF))
+    text = plan(registry.table_queries()["mart_anomaly_daily"](spark, SF))
     assert line(text, "ReadSchema") == "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string>"
     assert "partial_sum" in text and text.count(") Exchange\n") == 1
 
@@ -143,6 +147,6 @@ def test_hot_sort_key_is_split(spark, hot):
 
 
 def test_hot_key_keeps_its_newest_row(hot):
-    newest = latest_by_key(hot, ["machine_id"])
+    newest = latest_by_key(hot, ["machine_id"], tie=["updated_at", "v"])
     assert newest.count() == 20_001
     assert newest.filter("machine_id = 0").first().v == 29_997

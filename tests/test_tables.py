@@ -17,15 +17,17 @@ from millrace.sources import (
     committed_versions,
     current_version,
     land,
+    land_files,
     landed,
     read_progress,
     read_watermark,
     scan_landing,
+    scan_new_files,
     versions,
     write_progress,
     write_watermark,
 )
-from millrace.sources.files import SHUFFLE_PARTITIONS, shuffles_sized_for, size_of
+from millrace.sources.files import numbered
 from millrace.sources.relation import bounds_text, select_text, split_options
 
 
@@ -52,9 +54,20 @@ def test_versions_and_slices(spark, table):
     assert ids(added_since(spark, table, 2)) == []
 
 
-def test_a_version_written_twice_stays_one(spark, table):
-    assert append_version(spark.range(5), table, 2) == 5
-    assert ids(added_since(spark, table, 1)) == list(range(5))
+def test_a_committed_version_is_never_rewritten(spark, table):
+    with pytest.raises(FileExistsError):
+        append_version(spark.range(5), table, 2)
+    assert ids(added_since(spark, table, 1)) == list(range(20, 30))
+
+
+def test_reading_and_appending_open_no_footer(spark, table):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("footers", "")
+    as_of(spark, table), added_since(spark, table, 0)
+    assert len(tracker.getJobIdsForGroup("footers")) == 0
+    append_version(spark.range(30, 35), table, 3)
+    assert len(tracker.getJobIdsForGroup("footers")) <= 3
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_no_rows_make_no_version(spark, table):
@@ -78,18 +91,6 @@ def test_emptiness_is_seen_however_the_plan_folds(spark, table, empty):
     assert current_version(spark, table) == 2
 
 
-def test_marker_is_written_where_the_cluster_turns_it_off(spark, tmp_path):
-    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    spark.conf.set(name, "false")
-    try:
-        append_version(spark.range(3), str(tmp_path / "t"), 0)
-        write_progress(spark, str(tmp_path / "state"), "t", "k", 0, 3)
-    finally:
-        spark.conf.unset(name)
-    assert current_version(spark, str(tmp_path / "t")) == 0
-    assert read_progress(spark, str(tmp_path / "state")).rows == 3
-
-
 def test_schema_is_enforced(spark, table):
     with pytest.raises(ValueError, match="schema mismatch"):
         append_version(spark.range(3).withColumn("x", F.lit(1)), table, 3)
@@ -98,12 +99,15 @@ def test_schema_is_enforced(spark, table):
 
 
 def test_unfinished_version_is_invisible(spark, table):
-    append_version(spark.range(100, 110), table, 3)
-    os.remove(f"{table}/_delta_version=3/_SUCCESS")
+    spark.range(100, 110).write.parquet(numbered(table, "_delta_version", 3))
+    os.remove(f"{table}/_committed/_delta_version=0")
     assert current_version(spark, table) == 2
-    assert committed_versions(spark, table) == [0, 1, 2]
-    assert ids(as_of(spark, table)) == list(range(30))
+    assert committed_versions(spark, table) == [1, 2]
+    assert ids(as_of(spark, table)) == list(range(10, 30))
+    assert ids(as_of(spark, table, 0)) == []
     assert ids(added_since(spark, table, 1)) == list(range(20, 30))
+    assert append_version(spark.range(100, 103), table, 3) == 3
+    assert ids(added_since(spark, table, 2)) == [100, 101, 102]
 
 
 def test_missing_table(spark, tmp_path):
@@ -120,8 +124,13 @@ def test_landing(spark, tmp_path):
     assert land(spark.range(0), path, 1) == 0
     assert land(spark.range(4, 6), path, 1) == 2
     assert landed(spark, path) == [0, 1] and landed(spark, path, 0) == [1]
-    scan = scan_landing(spark, path, spark.range(1).schema)
+    spark.range(99).write.parquet(f"{path}/seq=2")
+    spark.range(99).write.parquet(f"{path}/from_elsewhere")
+    scan = scan_landing(spark, path)
     assert scan.columns == ["id"] and ids(scan) == list(range(6))
+    assert ids(scan_new_files(spark, path, 0)) == [4, 5] and ids(scan_new_files(spark, path, 1)) == []
+    assert land_files(spark, [f"{path}/from_elsewhere"], path) == 99
+    assert landed(spark, path) == [0, 1, 2] and ids(scan_new_files(spark, path, 1)) == list(range(99))
 
 
 def test_watermark_record(spark, tmp_path):
@@ -144,46 +153,24 @@ def test_load_record(spark, tmp_path):
     assert (row.table, row.unique_key, row.last_version, row.rows) == ("t", "k", 3, 17)
 
 
-def test_side_by_side_jobs_share_the_largest_shuffle(spark):
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    first, second = shuffles_sized_for(spark, 10 << 30), shuffles_sized_for(spark, 20 << 30)
-    seen = []
-    for step in (first.__enter__, second.__enter__, first.__exit__, second.__exit__):
-        step(*(() if step.__name__ == "__enter__" else (None, None, None)))
-        seen.append(spark.conf.get(SHUFFLE_PARTITIONS))
-    assert seen == ["10", "20", "20", before]
-
-
 @pytest.mark.parametrize("text", ['{"table":"t","last_value":"yesterday"}', "not json", '{"table":"t"}', ""])
 def test_bad_watermark_is_rejected(spark, tmp_path, text):
-    folder = tmp_path / "state" / "seq=0"
-    folder.mkdir(parents=True)
-    (folder / "part-0.json").write_text(text)
-    (folder / "_SUCCESS").touch()
+    (tmp_path / "state").mkdir()
+    (tmp_path / "state" / "0.json").write_text(text)
     with pytest.raises(ValueError, match="progress record"):
         read_watermark(spark, str(tmp_path / "state"))
 
 
-def test_shuffle_partitions_follow_the_input(spark, table):
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    with shuffles_sized_for(spark, size_of(spark, [table])):
-        assert spark.conf.get(SHUFFLE_PARTITIONS) == before
-    with pytest.raises(RuntimeError), shuffles_sized_for(spark, 100 << 40):
-        assert spark.conf.get(SHUFFLE_PARTITIONS) == str(100 << 10)
-        raise RuntimeError
-    assert spark.conf.get(SHUFFLE_PARTITIONS) == before
-
-
 def test_jdbc_texts():
     jdbc = JdbcSource({"url": "jdbc:x"}, num_partitions=8)
     plain = TableSpec("public.orders", jdbc=jdbc)
     custom = TableSpec("o", query=" select a, updated_at from b ; ", jdbc=jdbc)
-    assert select_text(plain) == "SELECT * FROM public.orders"
+    assert select_text(plain) == 'SELECT * FROM "public"."orders"'
     assert select_text(custom) == "select a, updated_at from b"
     assert bounds_text(custom, "updated_at", datetime(2026, 5, 1, 0, 0, 0, 7)) == (
-        "SELECT max(updated_at) AS hi, min(updated_at) AS split_lo, max(updated_at) AS split_hi "
+        'SELECT max("updated_at") AS hi, min("updated_at") AS split_lo, max("updated_at") AS split_hi '
         "FROM (select a, updated_at from b) AS src "
-        "WHERE updated_at >= TIMESTAMP '2026-04-30 00:00:00.000007'"
+        "WHERE \"updated_at\" >= TIMESTAMP '2026-04-30 00:00:00.000007'"
     )
     assert split_options(jdbc, "updated_at", "a", "b") == {
         "partitionColumn": "updated_at",
@@ -191,7 +178,9 @@ def test_jdbc_texts():
         "upperBound": "b",
         "numPartitions": 8,
     }
-    assert split_options(JdbcSource(), "updated_at", "a", "b") == {}
+    assert split_options(JdbcSource(num_partitions=1), "updated_at", "a", "b") == {}
+    with pytest.raises(ValueError, match="partitions"):
+        JdbcSource()
     assert split_options(jdbc, "updated_at", None, None) == {}
     by_key = JdbcSource(partition_column="order_key", num_partitions=2)
-    assert "min(order_key) AS split_lo" in bounds_text(TableSpec("o", jdbc=by_key), "updated_at", None)
+    assert 'min("order_key") AS split_lo' in bounds_text(TableSpec("o", jdbc=by_key), "updated_at", None)
