@@ -103,7 +103,8 @@ def _count_words(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for text in frame["text"]:
             counts.update(p.lower() for p in PIECE.findall(text or ""))
-    yield pd.DataFrame({"word": list(counts.keys()), "n": list(counts.values())})
+    if counts:
+        yield pd.DataFrame({"word": list(counts.keys()), "n": list(counts.values())})
 
 
 def _contexts(words: dict[str, int]):
@@ -270,6 +271,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if model.value is not None and len(frame):
                 x = np.array([model.value.features(t) for t in frame["text"]])
                 frame = frame[model.value.scores(x) >= 0.5]
-            yield frame
+            if len(frame):
+                yield frame
 
     return docs.mapInPandas(run, docs.schema)
