@@ -308,7 +308,7 @@ def _ranges(ids, hashes, doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
     new_doc = np.r_[len(doc) > 0, (ids[doc][1:] != ids[doc][:-1]) | (hashes[doc][1:] != hashes[doc][:-1])]
     opens = new_doc | np.r_[False, start[1:] > start[:-1] + WINDOW]
     at = np.flatnonzero(opens)
-    last = np.r_[at[1:], len(doc)] - 1
+    last = np.r_[at[1:], len(doc)][: len(at)] - 1
     begins, ends = start[at].astype(np.int32), (start[last] + WINDOW).astype(np.int32)
     heads = np.flatnonzero(new_doc[at])
     cuts = heads[1:]
@@ -317,8 +317,8 @@ def _ranges(ids, hashes, doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
         {
             "doc_id": pd.array(ids[owner], dtype="Int64"),
             "h": hashes[owner],
-            "starts": np.split(begins, cuts) if len(owner) else [],
-            "ends": np.split(ends, cuts) if len(owner) else [],
+            "starts": pd.Series(np.split(begins, cuts) if len(owner) else [], dtype=object),
+            "ends": pd.Series(np.split(ends, cuts) if len(owner) else [], dtype=object),
         }
     )
 
