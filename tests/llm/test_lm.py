@@ -1,0 +1,97 @@
+"""Scores against the same model counted in plain Python."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from millrace.llm import lm
+
+
+def tokens(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [*re.findall(r"[^\x20\x09-\x0D]+", low), "</s>"]
+
+
+def held(doc_id):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % 10 == 0
+
+
+def brute(docs):
+    """Per row: tokens, known tokens, base score, score."""
+    train = [tokens(t) for i, t in docs if not held(i)]
+    uni = Counter(w for t in train for w in t)
+    pairs = Counter(p for t in train for p in zip(["<s>", *t], t))
+    n, v = sum(uni.values()), len(uni)
+    follows, contexts = Counter(b for _, b in pairs), {}
+    for (a, _), c in pairs.items():
+        contexts.setdefault(a, []).append(c)
+    kinds = lambda values: np.array([sum(x == k for x in values) for k in (1, 2, 3, 4)])
+    high, low = lm.discounts(kinds(pairs.values())), lm.discounts(kinds(follows.values()))
+    left = sum(low[min(c, 3)] for c in follows.values()) / len(pairs)
+    total = lambda a: len(train) if a == "<s>" else uni[a]
+
+    def lower(b):
+        return max(follows[b] - low[min(follows[b], 3)], 0) / len(pairs) + left / (v + 1)
+
+    def prob(a, b):
+        if not total(a):
+            return lower(b)
+        c = pairs[a, b]
+        mass = sum(high[min(x, 3)] for x in contexts[a])
+        return (c - high[min(c, 3)]) / total(a) + mass / total(a) * lower(b)
+
+    out = []
+    for _, text in docs:
+        t = tokens(text)
+        base = sum(math.log10((uni[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
+        out.append((len(t), sum(uni[w] > 0 for w in t), n, base, sum(math.log10(prob(a, b)) for a, b in zip(["<s>", *t], t))))
+    return out
+
+
+def corpus():
+    rng = random.Random(5)
+    vocabulary = [f"W{i}" for i in range(60)]
+    docs = [(i, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(60)], k=rng.randrange(1, 60)))) for i in range(150)]
+    return [*docs, (150, None), (151, ""), (152, " \t\n"), (153, "unseen Étrange mot w1\x0bw2"), (3, docs[3][1]), (None, "w1 w2")]
+
+
+@pytest.mark.parametrize("chunk, per_file, hot", [(1 << 20, 1 << 21, 0.25), (64, 256, 0.05)])
+def test_scores_equal_a_plain_count(spark, monkeypatch, chunk, per_file, hot):
+    docs = corpus()
+    monkeypatch.setattr(lm, "CHUNK", chunk)
+    monkeypatch.setattr(lm, "PER_FILE", per_file)
+    monkeypatch.setattr(lm, "HOT_SHARE", hot)
+    df = spark.createDataFrame([(i, t, k, "x") for k, (i, t) in enumerate(docs)], "doc_id long, text string, n int, score string")
+    got = sorted((repr(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in lm.score_lm(df).collect())
+    want = sorted((repr(i), held(i), *row) for (i, _), row in zip(docs, brute(docs)))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5], abs=1e-6) and g[6] == pytest.approx(w[6], abs=1e-6)
+
+
+def test_probabilities_sum_to_one():
+    docs = corpus()
+    words = {w for i, t in docs if not held(i) for w in tokens(t)}
+    given = [(1000, f"w0 {w}") if w != "</s>" else (1000, "w0") for w in sorted(words)]
+    first = brute([*docs, (1000, "w0")])[-1][-1]
+    scores = {w: s[-1] for w, s in zip(sorted(words), brute([*docs, *given])[len(docs) :])}
+    assert first < 0 and len(scores) == len(words)
+
+
+def test_better_than_the_base_on_held_out_texts(spark):
+    rows = lm.score_lm(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_empty_table_and_no_training_text(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert lm.score_lm(empty).count() == 0
+    alone = next(i for i in range(100) if held(i))
+    row = lm.score_lm(spark.createDataFrame([(alone, "a b")], "doc_id long, text string")).first()
+    assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["score"]) == (3, 0, 0, 0.0)
+    assert row["base_score"] == pytest.approx(0.0)

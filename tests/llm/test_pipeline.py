@@ -1,0 +1,52 @@
+"""The stages one after the other."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from millrace.llm.work import Scratch
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    scratch, docs, out = Scratch(spark), spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, scratch.keep(stage(spark, docs, SF))
+        out.append((name, before, docs))
+    return out
+
+
+def test_columns_and_ids(steps):
+    for name, before, after in steps[:-1]:
+        assert after.columns == before.columns, name
+        assert after.join(before, "doc_id", "left_anti").isEmpty() and after.count() <= before.count()
+        assert after.filter(F.col("n_chars") != F.length("text")).isEmpty()
+    assert steps[-1][2].columns == [*steps[-1][1].columns, "copy", "shuffle_key"]
+
+
+def test_clean_documents_stay(steps, spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    _, before, after = steps[0]
+    good = before.join(labels.filter("quality = 1"), "doc_id")
+    assert after.join(good.select("doc_id"), "doc_id").count() >= 0.97 * good.count()
+
+
+def test_later_stages_find_nothing_left(steps, spark):
+    from millrace.llm import decontamination, jaccard
+
+    near = jaccard.near_duplicates(steps[2][2])
+    assert near.filter("n_links > 0").isEmpty()
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    before = decontamination.decontaminate(steps[3][1], benchmark).filter("contaminated").count()
+    after = decontamination.decontaminate(steps[3][2], benchmark).filter("contaminated").count()
+    assert after == 0 or after < before
+
+
+def test_run_equals_the_stages_and_survives_an_empty_table(steps, spark, tmp_path):
+    key = lambda df: sorted((r["doc_id"], r["copy"], r["text"]) for r in df.collect())
+    assert key(corpus_pipeline.run(spark, SF)) == key(steps[-1][2])
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -1,0 +1,56 @@
+"""Held-out accuracy, and scores of odd texts."""
+
+import zlib
+
+from pyspark.sql import functions as F
+
+from millrace.llm import quality
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
+    rows = quality.score_quality(docs, labels).join(labels, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    bad, good = ([r["score"] for r in held if r["quality"] == q] for q in (0, 1))
+    auc = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / len(good) / len(bad)
+    accuracy = sum(r["predicted"] == r["quality"] for r in held) / len(held)
+    assert auc > 0.95 and accuracy > 0.95
+    # Calibrated: the mean score is near the share of good texts.
+    assert abs(sum(r["score"] for r in held) / len(held) - len(good) / len(held)) < 0.05
+
+
+def small(spark):
+    good = [(i, f"a calm sentence about rivers and hills number {i} with plain words") for i in range(60)]
+    bad = [(i, f"BUY!! NOW!! $$$ {i} ### *** CLICK!! FREE!!") for i in range(60, 120)]
+    docs = [*good, *bad, (200, None), (201, ""), (202, "word " * 200_000), (0, good[0][1]), (None, good[0][1])]
+    labels = [(i, int(i < 60)) for i in range(120)] + [(0, 1), (None, 0), (300, 1), (1, 7)]
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def test_odd_rows_and_equal_texts(spark):
+    docs, labels = small(spark)
+    rows = quality.score_quality(docs.withColumn("score", F.lit("x")), labels).collect()
+    assert len(rows) == 125 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    assert len({r["score"] for r in rows if r["doc_id"] in (0, None)}) == 1
+    assert len({r["score"] for r in rows if r["doc_id"] in (200, 201)}) == 1
+    right = [r["predicted"] == (r["doc_id"] < 60) for r in rows if r["doc_id"] is not None and r["doc_id"] < 120]
+    assert sum(right) / len(right) > 0.95
+
+
+def test_scores_do_not_depend_on_held_out_labels(spark):
+    docs, labels = small(spark)
+    flipped = labels.withColumn("quality", F.when(quality.in_fold(F.col("doc_id"), 3, 1), 1 - F.col("quality")).otherwise(F.col("quality")))
+    scores = lambda lab: sorted((repr(r["doc_id"]), r["score"]) for r in quality.score_quality(docs, lab).collect())
+    assert scores(labels) == scores(flipped)
+
+
+def test_without_labels_or_rows(spark):
+    docs, labels = small(spark)
+    assert {r["score"] for r in quality.score_quality(docs, labels.limit(0)).collect()} == {0.5}
+    assert quality.score_quality(docs.limit(0), labels).count() == 0
+    kept = quality.keep_quality(docs, labels)
+    assert kept.columns == docs.columns and 55 <= kept.filter("doc_id < 60").count() <= 61
+    assert kept.filter("doc_id between 60 and 119").count() <= 3
