@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -248,30 +249,32 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 3, held: int
     model = fit(docs, labels, scratch, folds, held)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            scores = np.full(len(frame), 0.5)
-            if shipped.value is not None and len(frame):
-                scores = shipped.value.scores(np.array([shipped.value.features(t) for t in frame["text"]]))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "held_out": frame["held_out"], "score": scores})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = scores_of(batch, shipped.value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(scores)], names=["doc_id", "held_out", "score"]
+            )
 
     rows = docs.select("doc_id", in_fold(F.col("doc_id"), folds, held).alias("held_out"), "text")
     kind = dict(docs.dtypes)["doc_id"]
-    scored = rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, score double")
+    scored = rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def scores_of(batch: pa.RecordBatch, model: Model | None) -> np.ndarray:
+    if model is None or not batch.num_rows:
+        return np.full(batch.num_rows, 0.5)
+    return model.scores(np.array([model.features(t.as_py()) for t in batch.column("text")]))
+
+
 def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose text the classifier does not reject, with their columns."""
     scratch = Scratch(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, scratch))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if model.value is not None and len(frame):
-                x = np.array([model.value.features(t) for t in frame["text"]])
-                frame = frame[model.value.scores(x) >= 0.5]
-            if len(frame):
-                yield frame
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(batch, model.value) >= 0.5))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
