@@ -85,7 +85,7 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder below the shared folder the cluster names; only local mode may use a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
     return session_dir(spark, shared)
