@@ -123,8 +123,9 @@ def spans_of(text: Column, kind: Kind) -> Column:
     """
     gaps = F.split(text, kind.pattern, -1)
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    # There is one stretch more than there are matches; the last pair has no match and adds nothing.
     pairs = F.zip_with(
-        F.slice(gaps, 1, F.size(matches)),
+        gaps,
         matches,
         lambda gap, match: F.struct(
             F.length(gap).alias("gap"),
