@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
-from millrace.llm.decontamination import with_window_hashes
 from millrace.llm.unions import Unions
 from millrace.llm.work import Scratch, words
 
@@ -100,22 +99,22 @@ def sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.uint64)
 
 
-def shingles(docs: DataFrame) -> DataFrame:
-    """``doc_id, h, k1, k2, tokens``: text hash, class (equal words), shingle hashes.
-
-    A text of fewer words than a shingle, but not none, is one shingle.
-    """
-    worded = docs.select("doc_id", F.xxhash64("text").alias("h"), words(F.col("text")).alias("w"))
-    joined = F.array_join("w", " ")
-    some = F.size("w") > 0
-    keyed = worded.select(
-        "doc_id", "h", "w", F.when(some, F.xxhash64(joined)).alias("k1"), F.when(some, F.xxhash64(F.lit(5), joined)).alias("k2")
-    )
-    hashed = with_window_hashes(keyed, "w", SHINGLE, "windows")
-    short = F.array(F.xxhash64(F.array_join("w", " ")))
-    return hashed.select(
-        "doc_id", "h", "k1", "k2", F.when(F.size("w") >= SHINGLE, F.col("windows")).when(some, short).alias("tokens")
+def classed_words(docs: DataFrame) -> DataFrame:
+    """``doc_id, h, k1, tokens``: text hash, class (equal words; null without words), word hashes."""
+    hashed = docs.select(
+        "doc_id", F.xxhash64("text").alias("h"), F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("tokens")
     )
+    return hashed.select("doc_id", "h", F.when(F.size("tokens") > 0, F.xxhash64("tokens")).alias("k1"), "tokens")
+
+
+def shingle_hashes(words_: np.ndarray) -> np.ndarray:
+    """Distinct shingles of some words; fewer words than a shingle, but not none, are one shingle."""
+    size = min(SHINGLE, len(words_))
+    n = len(words_) - size + 1
+    out = np.full(n, np.uint64(size))
+    for k in range(size):
+        out = scramble(out + words_[k : k + n])
+    return np.unique(out)
 
 
 def _token_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -123,7 +122,7 @@ def _token_rows(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     offsets = column.offsets.to_numpy()
     values = column.values.to_numpy(zero_copy_only=False).view(np.uint64)
     for i in range(batch.num_rows):
-        yield i, np.unique(values[offsets[i] : offsets[i + 1]])
+        yield i, shingle_hashes(values[offsets[i] : offsets[i + 1]])
 
 
 # A row is a class on a path with its sketch, or (with a root) a link found before the shuffle.
@@ -369,7 +368,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, pla
     texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     ids = F.broadcast(firsts) if small else firsts
     chosen = texts.join(ids, same(texts, ids), "left_semi").select("doc_id", "text")
-    sets = shingles(chosen).select("k1", "tokens").dropDuplicates(["k1"])
+    sets = classed_words(chosen).select("k1", "tokens").dropDuplicates(["k1"])
     packed = scratch.keep(
         sets.join(members.withColumnRenamed("node", "k1"), "k1")
         .select("k1", "cluster", "copies", "members", "tokens")
@@ -417,10 +416,10 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     plan = plan or Plan()
     scratch = Scratch(docs.sparkSession)
     rows = docs.select("doc_id", "text")
-    classed = shingles(rows)
-    worded = classed.filter("k1 is not null")
+    classed = classed_words(rows)
+    keys = scratch.keep(classed.select("doc_id", "h", "k1"))
     classes = scratch.keep(
-        worded.groupBy("k1").agg(F.min(F.struct("doc_id", "h")).alias("first"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+        keys.filter("k1 is not null").groupBy("k1").agg(F.min(F.struct("doc_id", "h")).alias("first"), F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
     )
     links = scratch.keep(candidate_links(classed, plan))
     clusters = scratch.keep(components(links, scratch))
@@ -434,7 +433,6 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     )
     least = placed.groupBy("component").agg(F.min("class_id").alias("component_id"))
     per_class = placed.join(least, "component").select("k1", "class_id", "component_id", (F.col("links") + F.col("copies") - 1).alias("n"))
-    keys = classed.select("doc_id", "k1")
     return keys.join(per_class, "k1", "left").select(
         "doc_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
