@@ -16,7 +16,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     steps only aggregate a minimum per node and join it back; a hub's links are combined before the
     shuffle and adaptive execution splits its side of the join. Nulls and self-links are ignored.
     """
-    both = links.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna()
+    # Written first: what finds the links runs once.
+    both = scratch.keep(links.select(F.col("a").cast("long"), F.col("b").cast("long")).dropna())
     nodes = both.select("a").union(both.select("b")).distinct()
     edges = scratch.keep(_down(both))
     left = None

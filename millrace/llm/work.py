@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +28,7 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None:
-            if not spark.sparkContext.master.startswith("local["):
+            if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="millrace-")
         self.spark = spark
@@ -51,6 +52,11 @@ def mounted(path: str) -> str:
     return unquote(parts.path)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z; other letters stay."""
     return F.translate(text, UPPER, UPPER.lower())
