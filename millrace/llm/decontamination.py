@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.work import Scratch, with_columns_last, words
+from millrace.llm.work import Scratch, let, with_columns_last, words
 
 # Up to this many item windows (16 bytes of key and payload each) are broadcast; more are joined by a
 # shuffle of both sides. The rows are the same either way.
@@ -117,10 +117,19 @@ def _verify(rows: DataFrame, hits: DataFrame, windows: DataFrame) -> DataFrame:
     if ids.count() <= BROADCAST_WINDOWS:
         keyed = _join_rows(keyed, F.broadcast(ids), "left_semi")
     keyed = keyed.dropDuplicates(["doc_id", "h"])
+    def windows_of(w: Column) -> Column:
+        return F.transform(
+            "candidates",
+            lambda c: F.struct(
+                c["pos"].alias("pos"), c["size"].alias("size"), F.slice(w, c["pos"] + 1, c["size"]).alias("window")
+            ),
+        )
+
+    # Cut before they are exploded: a text is split into words once, not once per window.
     cut = (
         _join_rows(keyed, hits, "inner")
-        .select(keyed["doc_id"], keyed["h"], words(F.col("text")).alias("w"), F.explode("candidates").alias("c"))
-        .select("doc_id", "h", "c.pos", "c.size", F.slice("w", F.col("c.pos") + 1, F.col("c.size")).alias("window"))
+        .select(keyed["doc_id"], keyed["h"], F.explode_outer(let(words(F.col("text")), windows_of)).alias("c"))
+        .select("doc_id", "h", "c.pos", "c.size", "c.window")
     )
     owners = windows.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     per_row = cut.join(owners, "window").groupBy("doc_id", "h").agg(
@@ -186,10 +195,11 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, shar
         "left",
     ).filter(F.col("__hit").isNull() | (F.col("__hit") <= F.col("__words") * F.lit(share)))
     cut = F.when(F.col("__hit").isNotNull(), without_words(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    changes = {"text": cut}
+    out = with_columns_last(joined, text=cut)
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.col("__hit").isNotNull(), F.length(cut).cast("long")).otherwise(F.col("n_chars"))
-    return with_columns_last(joined, **changes).select(*docs.columns)
+        length = F.when(F.col("__hit").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        out = with_columns_last(out, n_chars=length)
+    return out.select(*docs.columns)
 
 
 # A word with the separators that follow it.
