@@ -19,7 +19,7 @@ from millrace.llm.work import Scratch, mounted, tokens, with_columns_last
 # hash anchors it, so equal windows have equal anchors wherever they stand.
 WINDOW, GRAM = 13, 6
 # Words worked on at once in a task, and words of the corpus per shard.
-PIECE, PER_SHARD = 1 << 21, 1 << 20
+PIECE, PER_SHARD = 1 << 20, 1 << 19
 NULL_ID = np.iinfo(np.int64).min
 
 
@@ -237,8 +237,8 @@ def _places(first: np.ndarray, length: np.ndarray) -> np.ndarray:
 FOUND = "doc_id long, h long, starts array<int>, ends array<int>"
 
 
-def shard_repeats(blobs: list[bytes]) -> pd.DataFrame:
-    """Per document, the word ranges of a shard's windows that an earlier document has as well.
+def shard_repeats(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Ids, text hashes, starts and ends of the word ranges that an earlier document has as well.
 
     Distinct stretches are indexed once with the least document they stand in. The documents' stretches
     are then streamed through the index: where the matching statistics reach a window's length, the
@@ -298,39 +298,48 @@ def shard_repeats(blobs: list[bytes]) -> pd.DataFrame:
     place_doc = np.repeat(doc_at, count[stretch])
     place_start = np.repeat(starts, count[stretch]) + places - np.repeat(offset[stretch], count[stretch])
     hit = window_least[places] < ids[place_doc]
-    return _ranges(ids, hashes, place_doc[hit], place_start[hit])
+    doc, start = place_doc[hit], place_start[hit]
+    return merged(ids[doc], hashes[doc], start, start + WINDOW)
+
+
+def merged(ids: np.ndarray, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges of each document joined where they touch, in order of document and start."""
+    order = np.lexsort((starts, hashes, ids))
+    ids, hashes, starts, ends = ids[order], hashes[order], starts[order], ends[order]
+    new = np.r_[len(ids) > 0, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])]
+    # The furthest end so far within the document: ends grow by document when shifted far enough.
+    shift = np.cumsum(new) * (int(ends.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(ends + shift)
+    opens = new | np.r_[False, starts[1:] + shift[1:] > reach[:-1]]
+    at = np.flatnonzero(opens)
+    last = np.r_[at[1:], len(ids)][: len(at)] - 1
+    return ids[at], hashes[at], starts[at], (reach - shift)[last]
 
 
-def _ranges(ids, hashes, doc: np.ndarray, start: np.ndarray) -> pd.DataFrame:
-    """Windows of each document merged into ranges of words."""
-    order = np.lexsort((start, hashes[doc], ids[doc]))
-    doc, start = doc[order], start[order]
-    new_doc = np.r_[len(doc) > 0, (ids[doc][1:] != ids[doc][:-1]) | (hashes[doc][1:] != hashes[doc][:-1])]
-    opens = new_doc | np.r_[False, start[1:] > start[:-1] + WINDOW]
-    at = np.flatnonzero(opens)
-    last = np.r_[at[1:], len(doc)][: len(at)] - 1
-    begins, ends = start[at].astype(np.int32), (start[last] + WINDOW).astype(np.int32)
-    heads = np.flatnonzero(new_doc[at])
-    cuts = heads[1:]
-    owner = doc[at[heads]]
-    return pd.DataFrame(
-        {
-            "doc_id": pd.array(ids[owner], dtype="Int64"),
-            "h": hashes[owner],
-            "starts": pd.Series(np.split(begins, cuts) if len(owner) else [], dtype=object),
-            "ends": pd.Series(np.split(ends, cuts) if len(owner) else [], dtype=object),
-        }
-    )
+def _search(shards: int):
+    """A shard's ranges, dealt out by document."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        ids, hashes, starts, ends = shard_repeats(list(frame["blob"]))
+        files = file_of(scramble(ids.view(np.uint64)), shards)
+        return pd.DataFrame(deal(files, ids, hashes, starts.astype(np.uint32), ends.astype(np.uint32)), columns=["file", "blob"])
+
+    return run
 
 
-def _search(frame: pd.DataFrame) -> pd.DataFrame:
-    found = shard_repeats(list(frame["blob"]))
-    found["doc_id"] = found["doc_id"].mask(found["doc_id"] == NULL_ID)
-    return found
+def _of_documents(frame: pd.DataFrame) -> pd.DataFrame:
+    """One row per document with all its ranges."""
+    parts = unpack_all(frame["blob"], np.int64, np.int64, np.uint32, np.uint32)
+    ids, hashes, starts, ends = merged(parts[0], parts[1], *[p.astype(np.int64) for p in parts[2:]])
+    heads = np.flatnonzero(np.r_[len(ids) > 0, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])])
+    lists = lambda v: pd.Series(np.split(v.astype(np.int32), heads[1:]), dtype=object)
+    out = pd.DataFrame({"doc_id": pd.array(ids[heads], dtype="Int64"), "h": hashes[heads], "starts": lists(starts), "ends": lists(ends)})
+    out["doc_id"] = out["doc_id"].mask(out["doc_id"] == NULL_ID)
+    return out
 
 
 def repeated_ranges(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(doc_id, h, starts, ends)``, one or more rows per document: words that repeat earlier documents."""
+    """``(doc_id, h, starts, ends)``, one row per document: ranges of words that repeat earlier documents."""
     hashed = _hashed(docs)
     folder = mounted(scratch.new_path())
     os.makedirs(folder)
@@ -341,7 +350,8 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch) -> DataFrame:
         _repeated(folder), "file int, n long"
     ).agg(F.sum("n")).first()
     sent = hashed.mapInArrow(_segments(folder, shards), BLOB)
-    return scratch.keep(sent.groupBy("file").applyInPandas(_search, FOUND))
+    found = sent.groupBy("file").applyInPandas(_search(shards), BLOB)
+    return scratch.keep(found.groupBy("file").applyInPandas(_of_documents, FOUND))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -360,10 +370,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     ranges = repeated_ranges(docs.select("doc_id", "text"), scratch)
-    cut = ranges.groupBy(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).agg(
-        F.flatten(F.collect_list(F.arrays_zip("starts", "ends"))).alias("__ranges")
+    cut = ranges.select(
+        F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.arrays_zip("starts", "ends").alias("__ranges")
     )
-    gone = F.array_distinct(F.flatten(F.transform("__ranges", lambda r: F.sequence(r["starts"], r["ends"] - 1))))
+    gone = F.flatten(F.transform("__ranges", lambda r: F.sequence(r["starts"], r["ends"] - 1)))
     joined = docs.join(cut, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h")), "left")
     worded = joined.withColumn("__words", tokens(F.col("text"))).withColumn("__gone", F.coalesce(gone, F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size("__words") - 1), F.col("__gone"))
