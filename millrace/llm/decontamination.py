@@ -62,6 +62,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
     no items or no documents the result has no hits or no rows. Rows with a repeated ``doc_id`` are
     judged each by their own text; a null ``doc_id`` is an id like another.
     """
+    return _judged(docs, benchmark, n).drop("h")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, n: int) -> DataFrame:
+    """The rows of ``decontaminate`` with the text hash ``h``."""
     scratch = Scratch(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     windows = scratch.keep(item_windows(benchmark, n))
@@ -78,6 +83,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFra
     counted = rows.select("doc_id", _text_hash(), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     return _join_rows(counted, verified, "left").select(
         counted["doc_id"],
+        counted["h"],
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
@@ -184,15 +190,18 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 10, shar
     """Documents without their hit spans; ``n_chars`` follows.
 
     A document whose hit words exceed ``share`` of all is left out; from the others the hit words and
-    what separates them are cut, and the rest stays as it is. Documents without hits are unchanged.
+    what separates them are cut, and the rest stays as it is. Documents without hits are unchanged. A row
+    is found again by id and text, so rows with the same id (or none) are each cut by their own spans.
     """
-    found = decontaminate(docs, benchmark, n).filter("contaminated").select(
-        F.col("doc_id").alias("__id"), F.col("n_words").alias("__words"), F.col("n_hit").alias("__hit"), F.col("spans").alias("__spans")
-    ).dropDuplicates(["__id", "__words", "__hit"])
+    found = _judged(docs, benchmark, n).filter("contaminated").select(
+        F.col("doc_id").alias("__id"),
+        F.col("h").alias("__h"),
+        F.col("n_words").alias("__words"),
+        F.col("n_hit").alias("__hit"),
+        F.col("spans").alias("__spans"),
+    ).dropDuplicates(["__id", "__h"])
     joined = docs.join(
-        found,
-        docs["doc_id"].eqNullSafe(F.col("__id")) & (F.size(words(docs["text"])) == F.col("__words")),
-        "left",
+        found, docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h")), "left"
     ).filter(F.col("__hit").isNull() | (F.col("__hit") <= F.col("__words") * F.lit(share)))
     cut = F.when(F.col("__hit").isNotNull(), without_words(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
     out = with_columns_last(joined, text=cut)

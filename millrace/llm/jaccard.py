@@ -413,7 +413,11 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     and all rows with the group's smallest id are kept; a null id is kept only where nothing else is
     reachable.
     """
-    plan = plan or Plan()
+    return _judged(docs, plan or Plan()).drop("h")
+
+
+def _judged(docs: DataFrame, plan: Plan) -> DataFrame:
+    """The rows of ``near_duplicates`` with the text hash ``h``."""
     scratch = Scratch(docs.sparkSession)
     rows = docs.select("doc_id", "text")
     classed = classed_words(rows)
@@ -435,6 +439,7 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     per_class = placed.join(least, "component").select("k1", "class_id", "component_id", (F.col("links") + F.col("copies") - 1).alias("n"))
     return keys.join(per_class, "k1", "left").select(
         "doc_id",
+        "h",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
@@ -443,6 +448,10 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` less those that are near duplicates of one with a smaller id."""
-    found = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__id")), "left_anti")
+    """Rows of ``docs`` less those that are near duplicates of one with a smaller id.
+
+    A row is found again by id and text, so rows with the same id (or none) and other texts are judged apart.
+    """
+    dropped = _judged(docs, Plan()).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__h"))
+    return docs.join(dropped, same, "left_anti")

@@ -75,3 +75,11 @@ def test_spans_are_cut_and_the_rest_stays(spark):
     assert set(out) == {1, 3, 4}
     assert out[1]["text"] == text.replace(f"{PASSAGE}! ", "") and out[1]["n_chars"] == len(out[1]["text"])
     assert (out[3]["text"], out[3]["n_chars"], out[4]["text"]) == ("Nothing, here!", 14, None)
+
+
+def test_rows_without_an_id_are_cut_by_their_own_spans(spark):
+    clean = " ".join(f"clean{i}" for i in range(30))
+    rows = [(None, f"{PASSAGE} {clean}"), (None, f"{clean} {PASSAGE}"), (None, " ".join(f"other{i}" for i in range(44)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r["text"].strip() for r in d.remove_contaminated(docs, spark.createDataFrame(ITEMS[:1], "item_id long, text string")).collect())
+    assert got == [clean, clean, rows[2][1]]

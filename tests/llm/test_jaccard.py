@@ -126,3 +126,9 @@ def test_empty_and_kept_rows(spark):
     docs = spark.createDataFrame([(3, "a b c d e f"), (1, "A b c d e f"), (None, "other"), (2, None), (5, "")], "doc_id long, text string")
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns and sorted(repr(r["doc_id"]) for r in kept.collect()) == ["1", "2", "5", "None"]
+
+
+def test_rows_that_share_an_id_are_dropped_by_their_own_text(spark):
+    rows = [(1, "a b c d e f"), (None, "A b c d e f"), (None, "something else of its own here"), (None, None), (7, "A b c d e f!"), (7, "yet another text that nobody repeats")]
+    kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in spark.createDataFrame([rows[k] for k in (0, 2, 3, 5)], "doc_id long, text string").collect())
