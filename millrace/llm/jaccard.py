@@ -404,8 +404,9 @@ def near_duplicates(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     Rows with equal words are one class from the first shuffle on. Each class draws its chosen paths,
     classes with equal paths are compared by sketches inside the path's bucket, and what looks alike
     forms clusters in which all pairs are compared by exact Jaccard similarity, in chunks. Two texts
-    with a similarity of ``plan.similarity`` or more are linked; a pair at exactly that similarity is
-    missed with a probability of at most 1 - ``plan.recall``, a more similar one with less.
+    with a similarity of ``plan.similarity`` or more are linked; a pair at exactly that similarity
+    shares no path with a probability of at most 1 - ``plan.recall``, a more similar one with less. Sketches
+    lose further pairs, mostly of short texts, and so do paths that one batch meets ``OFTEN`` times.
 
     ``n_links`` counts linked rows, copies included; ``class_id`` is the smallest id with equal words,
     ``component_id`` the smallest id reachable by links; ``kept`` marks the row that stays of each group.
