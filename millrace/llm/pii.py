@@ -130,7 +130,7 @@ def spans_of(text: Column, kind: Kind) -> Column:
         lambda gap, match: F.struct(
             F.length(gap).alias("gap"),
             F.length(match).alias("len"),
-            kind.valid(match).alias("ok"),
+            (match.isNotNull() & kind.valid(match)).alias("ok"),
             F.when(F.lower(F.right(gap, F.lit(CONTEXT))).rlike(kind.context), min(1.0, kind.score + BONUS))
             .otherwise(kind.score)
             .alias("score"),
