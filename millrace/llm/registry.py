@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, substrings, urls, vectors
+from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, substrings, urls, vectors, winnowing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents"))
 
 
+def op12_winnowing(spark: SparkSession, sf: str) -> DataFrame:
+    return winnowing.digest(winnowing.edit_marks(table(spark, sf, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op8_jaccard": op8_jaccard,
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
+        "op12_winnowing": op12_winnowing,
     }
 
 
@@ -78,4 +83,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontamination": decontamination.oracle(),
         "op6_substrings": substrings.oracle(),
         "op10_mixing": mixing.oracle(),
+        "op12_winnowing": winnowing.oracle(),
     }
