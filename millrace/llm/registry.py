@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontamination, jaccard, line_dedup, lm, mixing, pii, quality, substrings, urls, vectors, winnowing
+from millrace.llm import (
+    decontamination,
+    jaccard,
+    line_dedup,
+    lm,
+    mixing,
+    pii,
+    quality,
+    substrings,
+    urls,
+    vector_codes,
+    vectors,
+    winnowing,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +75,10 @@ def op12_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.digest(winnowing.edit_marks(table(spark, sf, "documents")))
 
 
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.digest(vector_codes.compress(table(spark, sf, "embeddings")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -75,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
         "op12_winnowing": op12_winnowing,
+        "op13_vector_codes": op13_vector_codes,
     }
 
 
@@ -84,4 +102,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_substrings": substrings.oracle(),
         "op10_mixing": mixing.oracle(),
         "op12_winnowing": winnowing.oracle(),
+        "op13_vector_codes": vector_codes.oracle(),
     }
