@@ -14,6 +14,7 @@ from millrace.llm import (
     mixing,
     pii,
     quality,
+    resampling,
     substrings,
     urls,
     vector_codes,
@@ -71,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.digest(resampling.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
 def op12_winnowing(spark: SparkSession, sf: str) -> DataFrame:
     return winnowing.digest(winnowing.edit_marks(table(spark, sf, "documents")))
 
@@ -91,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op8_jaccard": op8_jaccard,
         "op9_url_filters": op9_url_filters,
         "op10_mixing": op10_mixing,
+        "op11_resampling": op11_resampling,
         "op12_winnowing": op12_winnowing,
         "op13_vector_codes": op13_vector_codes,
     }
@@ -101,6 +107,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontamination": decontamination.oracle(),
         "op6_substrings": substrings.oracle(),
         "op10_mixing": mixing.oracle(),
+        "op11_resampling": resampling.oracle(),
         "op12_winnowing": winnowing.oracle(),
         "op13_vector_codes": vector_codes.oracle(),
     }
