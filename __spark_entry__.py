@@ -312,6 +312,38 @@ def q_mart_latest_after_load(spark: SparkSession, sf: str) -> DataFrame:
     return read_mart(spark, layout, "mv_production_daily", mode="latest")
 
 
+READING_LOADS = ("fact_sensor_readings", "reading_fixes", "reading_drops")
+
+
+def _reading_loads(spark: SparkSession, sf: str, layout: Layout, mode: str) -> None:
+    """Load the readings in three versions and refresh their hourly mart after each."""
+    path = layout.warehouse("fact_sensor_readings")
+    for v, name in enumerate(READING_LOADS):
+        append_version(conform(with_version(view(spark, sf, name), v), "fact_sensor_readings"), path, v)
+        refresh_mart(spark, layout, "mv_sensor_hourly", mode)
+
+
+def q_mart_latest_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Updates take rows back from sums, counts, averages and extremes of the newest rows."""
+    layout = Layout(work_dir(spark))
+    _reading_loads(spark, sf, layout, "latest")
+    return read_mart(spark, layout, "mv_sensor_hourly", "latest")
+
+
+def q_mart_latest_folded(spark: SparkSession, sf: str) -> DataFrame:
+    layout = Layout(work_dir(spark))
+    _reading_loads(spark, sf, layout, "latest")
+    fold_mart(spark, layout, "mv_sensor_hourly", "latest")
+    return read_mart(spark, layout, "mv_sensor_hourly", "latest")
+
+
+def q_panel_time_range_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """The panel reads the stored states of the months in its range only."""
+    layout = Layout(work_dir(spark))
+    _reading_loads(spark, sf, layout, "append")
+    return panel_sensor(time_range(read_states(spark, layout, "mv_sensor_hourly"), "reading_hour", *RANGE))
+
+
 def q_mart_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     """A replacement is built beside the mart and then put in its place."""
     layout = Layout(work_dir(spark))
@@ -479,6 +511,9 @@ def table_queries() -> dict[str, Query]:
         "mart_folded": q_mart_folded,
         "mart_added_later": q_mart_added_later,
         "mart_latest_after_load": q_mart_latest_after_load,
+        "mart_latest_increments": q_mart_latest_increments,
+        "mart_latest_folded": q_mart_latest_folded,
+        "panel_time_range_pruned": q_panel_time_range_pruned,
         "mart_rebuild": q_mart_rebuild,
         "panel_production": q_panel_production,
         "panel_machine": q_panel_machine,
@@ -526,11 +561,17 @@ MACHINE_DAILY = """select machine_id, cast(start_time as date) as order_date,
  cast(sum(actual_qty) as bigint) as actual_total
 from orders_log where machine_id is not null and start_time is not null group by 1, 2"""
 
-SENSOR_HOURLY = """select sensor_id, date_trunc('hour', reading_timestamp) as reading_hour,
+def _sensor_hourly(rows: str = "fact_sensor_readings") -> str:
+    return f"""select sensor_id, date_trunc('hour', reading_timestamp) as reading_hour,
  cast(sum(reading_value) as double) / count(reading_value) as avg_val,
  max(reading_value) as max_val, min(reading_value) as min_val, count(*) as readings,
  cast(sum(cast(is_anomaly as int)) as bigint) as anomaly_count
-from fact_sensor_readings where sensor_id is not null group by 1, 2"""
+from {rows} where sensor_id is not null group by 1, 2"""
+
+
+LATEST_READINGS = """select * exclude (rn) from (
+ select *, row_number() over (partition by reading_id order by _delta_version desc) as rn
+ from readings_log) where rn = 1"""
 
 ANOMALY_DAILY = """select cast(reading_timestamp as date) as reading_date,
  cast(sum(cast(is_anomaly as int)) as bigint) as anomaly_count, count(*) as total_readings
@@ -551,9 +592,9 @@ from (select machine_id, count(*) as orders, cast(sum(target_qty) as bigint) as
 order by actual_qty desc nulls last, machine_id"""
 
 
-def _panel_sensor(where: str = "") -> str:
+def _panel_sensor(where: str = "", rows: str = "fact_sensor_readings") -> str:
     return f"""select reading_hour, sensor_id, avg_val as avg_value, max_val as max_value,
- min_val as min_value from ({SENSOR_HOURLY}) {where} order by reading_hour, sensor_id"""
+ min_val as min_value from ({_sensor_hourly(rows)}) {where} order by reading_hour, sensor_id"""
 
 
 PANEL_ANOMALY = f"""select reading_date, anomaly_count as anomalies, total_readings,
@@ -568,6 +609,7 @@ def _band(c: str) -> str:
 def oracle_sql() -> dict[str, str]:
     log_rows = "select * exclude (_delta_version) from orders_log"
     since = f"select * from orders where o_orderdate > timestamp '{MARK}'"
+    in_range = f"where reading_hour between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'"
     texts = {
         "scan_full": "select * from fact_production_orders",
         "scan_query": QUERY_TEXT,
@@ -599,7 +641,7 @@ def oracle_sql() -> dict[str, str]:
         "conform": "select *, cast(3 as bigint) as _delta_version from fact_sensor_readings",
         "mart_production_daily": _production("orders_log"),
         "mart_machine_daily": MACHINE_DAILY,
-        "mart_sensor_hourly": SENSOR_HOURLY,
+        "mart_sensor_hourly": _sensor_hourly(),
         "mart_anomaly_daily": ANOMALY_DAILY,
         "mart_incremental_refresh": MACHINE_DAILY,
         "mart_backfill": _production("orders_log"),
@@ -617,9 +659,10 @@ def oracle_sql() -> dict[str, str]:
         "picker_machine": """select distinct machine_id from fact_production_orders
  where machine_id is not null and start_time is not null""",
         "picker_sensor": "select distinct sensor_id from fact_sensor_readings where sensor_id is not null",
-        "panel_time_range": _panel_sensor(
-            f"where reading_hour between timestamp '{RANGE[0]}' and timestamp '{RANGE[1]}'"
-        ),
+        "panel_time_range": _panel_sensor(in_range),
+        "panel_time_range_pruned": _panel_sensor(in_range, "readings_log"),
+        "mart_latest_increments": _sensor_hourly(f"({LATEST_READINGS})"),
+        "mart_latest_folded": _sensor_hourly(f"({LATEST_READINGS})"),
         "threshold_band": f"""select reading_hour, sensor_id,
  {", ".join(_band(c) for c in ("avg_value", "max_value", "min_value"))} from ({_panel_sensor()})""",
         "anomaly_band": f"""select reading_date, anomaly_rate_pct,

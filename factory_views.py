@@ -68,6 +68,31 @@ select *, cast(0 as bigint) as _delta_version from fact_production_orders
 union all
 select *, cast(1 as bigint) as _delta_version from order_changes"""
 
+# Two later loads of readings: corrected values, some of another hour, then readings that lose their
+# sensor or their value, and new ones.
+READING_FIXES = """
+select reading_id, sensor_id, cast(90 - reading_value as decimal(10,4)) as reading_value,
+ case when reading_id % 4 = 0 then null else reading_id % 8 = 1 end as is_anomaly,
+ reading_timestamp + (case when reading_id % 2 = 0 then interval '1' hour else interval '0' hour end) as reading_timestamp,
+ created_at, updated_at + interval '1' year as updated_at
+from fact_sensor_readings where reading_id % 3 = 0"""
+
+READING_DROPS = """
+select reading_id, case when reading_id % 2 = 0 then null else sensor_id end as sensor_id, reading_value, is_anomaly,
+ reading_timestamp, created_at, updated_at + interval '2' year as updated_at
+from fact_sensor_readings where reading_id % 5 = 0
+union all
+select reading_id + 100000000, sensor_id, cast(reading_value + 1 as decimal(10,4)) as reading_value, null as is_anomaly,
+ reading_timestamp, created_at, updated_at + interval '2' year as updated_at
+from fact_sensor_readings where reading_id % 7 = 0"""
+
+READINGS_LOG = """
+select *, cast(0 as bigint) as _delta_version from fact_sensor_readings
+union all
+select *, cast(1 as bigint) as _delta_version from reading_fixes
+union all
+select *, cast(2 as bigint) as _delta_version from reading_drops"""
+
 VIEWS = {
     "dim_machines": DIM_MACHINES,
     "dim_sensors": DIM_SENSORS,
@@ -76,6 +101,9 @@ VIEWS = {
     "order_changes": ORDER_CHANGES,
     "orders_changed": ORDERS_CHANGED,
     "orders_log": ORDERS_LOG,
+    "reading_fixes": READING_FIXES,
+    "reading_drops": READING_DROPS,
+    "readings_log": READINGS_LOG,
 }
 READS = {
     "dim_machines": ("supplier",),
@@ -85,6 +113,9 @@ READS = {
     "order_changes": ("fact_production_orders",),
     "orders_changed": ("fact_production_orders",),
     "orders_log": ("fact_production_orders", "order_changes"),
+    "reading_fixes": ("fact_sensor_readings",),
+    "reading_drops": ("fact_sensor_readings",),
+    "readings_log": ("fact_sensor_readings", "reading_fixes", "reading_drops"),
 }
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.ratio import band, pct
 from millrace.operators.states import merge
-from millrace.plans.marts import MARTS
+from millrace.plans.marts import MARTS, MONTH, month_of
 
 
 # Where the panels turn orange and red.
@@ -21,12 +21,17 @@ ANOMALY_LIMITS = (5, 10)
 
 
 def time_range(df: DataFrame, col: str, start: object, end: object) -> DataFrame:
-    """Rows whose time lies in the dashboard's range; both ends belong to it."""
+    """Rows whose time lies in the dashboard's range; both ends belong to it.
+
+    Of stored states only the folders of the range's months are read.
+    """
     dtype = df.schema[col].dataType
 
     def bound(v: object) -> Column:
         return F.lit(str(v)).cast(dtype)
 
+    if MONTH in df.columns:
+        df = df.filter(F.col(MONTH).between(month_of(bound(start)), month_of(bound(end))))
     return df.filter(F.col(col).between(bound(start), bound(end)))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import DataFrame, SparkSession
@@ -88,10 +89,12 @@ def committed_schema(spark: SparkSession, path: str, label: str, n: int) -> T.St
 
 
 def write_numbered(
-    df: DataFrame, path: str, label: str, n: int, empty: bool = False, **extra: object
+    df: DataFrame, path: str, label: str, n: int, empty: bool = False, by: Sequence[str] = (), **extra: object
 ) -> int:
     """Write ``df`` as one numbered Parquet directory, commit it, and return its row count.
 
+    Within the directory, rows lie in folders by the columns ``by``.
+
     Rows are counted in the footers of the files just written: the plan runs once, and the count holds
     whatever tasks were repeated. (An observed metric comes through the listener bus, which drops events
     on a busy cluster.) Without rows nothing is left behind, unless ``empty`` is asked for.
@@ -99,7 +102,7 @@ def write_numbered(
     spark, target = df.sparkSession, numbered(path, label, n)
     if n in committed(spark, path, label):
         raise FileExistsError(f"{target} is committed")
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").partitionBy(*by).parquet(target)
     rows = spark.read.schema(df.schema).parquet(target).count()
     if rows == 0 and not empty:
         fs, p = _fs(spark, target)
