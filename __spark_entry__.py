@@ -8,6 +8,7 @@ import tempfile
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +47,7 @@ from millrace.plans import (  # noqa: E402
     run_load,
     run_pipeline,
     sensor_bands,
+    stream_load,
     time_range,
 )
 from millrace.sources import (  # noqa: E402
@@ -64,7 +66,7 @@ from millrace.sources import (  # noqa: E402
     with_version,
 )
 from millrace.sources.files import numbered, session_dir  # noqa: E402
-from millrace.streaming import run_transform  # noqa: E402
+from millrace.streaming import run_transform, stream_transform  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -465,6 +467,59 @@ def q_pipeline_latest_table(spark: SparkSession, sf: str) -> DataFrame:
     return latest_table(spark, _changed_source(spark, sf), "fact_production_orders")
 
 
+class Stopped(Exception):
+    """Ends a stream after it has written and before its checkpoint moves."""
+
+
+def _stop(*_: int) -> None:
+    raise Stopped
+
+
+def _stopped(run: Callable[[], None]) -> None:
+    try:
+        run()
+    except StreamingQueryException as e:
+        if "Stopped" not in str(e):
+            raise
+
+
+def _streamed_log(spark: SparkSession, sf: str) -> Layout:
+    """Two landed batches, one of them torn at first; the stream stops after it has written each."""
+    layout, name = Layout(work_dir(spark)), "fact_production_orders"
+    landing = layout.landing(name)
+    land(view(spark, sf, name), landing, 0)
+    changes = view(spark, sf, "order_changes")
+    changes.filter("target_qty > 200").write.parquet(numbered(landing, "seq", 1))
+    _stopped(lambda: stream_transform(spark, name, layout, written=_stop))
+    stream_transform(spark, name, layout)
+    land(changes, landing, 1)
+    _stopped(lambda: stream_transform(spark, name, layout, written=_stop))
+    stream_transform(spark, name, layout)
+    return layout
+
+
+def q_stream_transform(spark: SparkSession, sf: str) -> DataFrame:
+    return as_of(spark, _streamed_log(spark, sf).table("fact_production_orders"))
+
+
+def q_stream_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions loaded one by one, with a stop after the first; the marts count each version once."""
+    layout, name = _streamed_log(spark, sf), "fact_production_orders"
+    _stopped(lambda: stream_load(spark, name, layout, most=1, loaded=_stop))
+    stream_load(spark, name, layout, most=1)
+    return panel_production(read_states(spark, layout, "mv_production_daily"))
+
+
+def q_stream_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    layout = Layout(work_dir(spark))
+    register(spark, sf, *TABLES)
+    for spec in SPECS:
+        run_extract(spark, spec, layout)
+        stream_transform(spark, spec.name, layout)
+        stream_load(spark, spec.name, layout)
+    return panel_machine(read_states(spark, layout, "mv_machine_daily"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily anomaly rate, from readings to an ordered panel."""
     return q_panel_anomaly(spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
@@ -532,6 +587,9 @@ def table_queries() -> dict[str, Query]:
         "pipeline_latest_table": q_pipeline_latest_table,
         "pipeline_torn_landing": q_pipeline_torn_landing,
         "pipeline_load_stopped": q_pipeline_load_stopped,
+        "stream_transform": q_stream_transform,
+        "stream_load": q_stream_load,
+        "stream_end_to_end": q_stream_end_to_end,
     }
 
 
@@ -674,6 +732,9 @@ def oracle_sql() -> dict[str, str]:
         "pipeline_latest_table": LATEST_ORDERS,
         "pipeline_torn_landing": "select * from orders_log",
         "pipeline_load_stopped": "select * from orders_log",
+        "stream_transform": "select * from orders_log",
+        "stream_load": _panel_production("orders_log"),
+        "stream_end_to_end": _panel_machine(),
     }
     checks = {name: check_sql(text) for name, text in texts.items()}
     if llm is not None:

@@ -21,7 +21,15 @@ from millrace.plans.panels import (
     sensor_bands,
     time_range,
 )
-from millrace.plans.pipeline import load_versions, run_extract, run_load, run_pipeline, run_stage
+from millrace.plans.pipeline import (
+    load_versions,
+    run_extract,
+    run_load,
+    run_pipeline,
+    run_stage,
+    start_load,
+    stream_load,
+)
 
 __all__ = [
     "CONTRACTS",
@@ -49,5 +57,7 @@ __all__ = [
     "run_pipeline",
     "run_stage",
     "sensor_bands",
+    "start_load",
+    "stream_load",
     "time_range",
 ]

@@ -10,6 +10,7 @@ from typing import TypeVar
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.checks import require_columns
 from millrace.operators.clean import to_naive_utc
@@ -34,6 +35,7 @@ from millrace.sources.versioned import (
     current_version,
     read_versions,
 )
+from millrace.streaming.commits import commit_stream, start
 from millrace.streaming.ingest import run_transform
 
 # Fixed value: the column that marks when a source row last changed.
@@ -144,6 +146,50 @@ def run_load(spark: SparkSession, table: str, layout: Layout, sink: JdbcSink | N
     return rows
 
 
+def start_load(
+    spark: SparkSession,
+    table: str,
+    layout: Layout,
+    most: int | None = None,
+    loaded: Callable[[int], None] | None = None,
+    **trigger: object,
+) -> StreamingQuery:
+    """Start the stream that loads table versions and feeds the marts.
+
+    The source are the commit records of the table's versions; the checkpoint holds what was handled,
+    ``most`` versions at a time. A micro-batch loads every version up to its newest that is not loaded
+    yet, refreshes the marts and records progress. Each of these finds what a stopped run has done
+    and does the rest, so a repeated micro-batch changes nothing. ``loaded`` is called with the newest
+    version before the checkpoint moves. Progress is shared with ``run_load``.
+    """
+    name = clean_name(table)
+    state = layout.state("load", name)
+
+    def step(versions: list[int], _: int) -> None:
+        progress = read_progress(spark, state)
+        last = progress.last_version if progress else None
+        if last is None or versions[-1] > last:
+            rows = load_versions(spark, layout, name, last, versions[-1])
+            refresh_marts(spark, layout, name)
+            write_progress(spark, state, name, CONTRACTS[name].key, versions[-1], rows)
+        if loaded:
+            loaded(versions[-1])
+
+    records = commit_stream(spark, layout.table(name), VERSION, most)
+    return start(records, f"{layout.state('stream_load', name)}/checkpoint", step, **trigger)
+
+
+def stream_load(
+    spark: SparkSession,
+    table: str,
+    layout: Layout,
+    most: int | None = None,
+    loaded: Callable[[int], None] | None = None,
+) -> None:
+    """Run ``start_load`` over all committed versions, and end."""
+    start_load(spark, table, layout, most, loaded).awaitTermination()
+
+
 def run_stage(stage: Callable[[S], int], tables: Iterable[S], parallel: int = 1) -> list[int]:
     """Run one stage over its tables, ``parallel`` at a time; the results keep the list's order.
 

@@ -31,6 +31,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder; none where there is no folder."""
     fs, p = _fs(spark, path)

@@ -32,5 +32,5 @@ class Layout:
 
     def paths_of(self, table: str) -> list[str]:
         """Every folder that belongs to one source table."""
-        stages = ("extract", "transform", "intent", "load")
+        stages = ("extract", "transform", "intent", "load", "stream_transform", "stream_load")
         return [self.landing(table), self.table(table), self.warehouse(table), *[self.state(s, table) for s in stages]]

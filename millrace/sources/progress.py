@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 
-from millrace.sources.files import names_in, read_json, write_json
+from millrace.sources.files import exists, names_in, read_json, write_json
 
 
 class Watermark(NamedTuple):
@@ -122,6 +122,13 @@ def read_intent(spark: SparkSession, path: str) -> Intent | None:
     return None if found is None else Intent(found[1]["version"], found[1]["seqs"])
 
 
+def read_intent_of(spark: SparkSession, path: str, version: int) -> Intent | None:
+    """What became of a version, or ``None`` for one that no run set out to write."""
+    if not exists(spark, record_path(path, version)):
+        return None
+    return Intent(version, read_json(spark, record_path(path, version))["seqs"])
+
+
 def write_intent(spark: SparkSession, path: str, intent: Intent) -> None:
     write_record(spark, path, intent.version, version=intent.version, seqs=intent.seqs)
 
