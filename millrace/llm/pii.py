@@ -194,3 +194,93 @@ def digest(found: DataFrame) -> DataFrame:
         _listed(KINDS).alias("spans"),
         F.array_join(scores, ",").alias("scores"),
     )
+
+
+def oracle() -> str:
+    """The digest of ``documents`` in DuckDB SQL: each kind's plain pattern, its check and its context words.
+
+    DuckDB's patterns look neither back nor ahead: a kind that must not touch letters or digits is found
+    with the character before it, or by the start of a candidate, and the character after is looked at.
+    """
+    octet = r"0*(25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+    blank = r"[ \t\n\x0B\f\r]"
+    key = r"(?:password|passwd|secret|token|api[_-]?key)"
+    # Pattern; how many characters of a match belong before it; what is proposed; what is valid.
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = (
+        f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i: case when i % 2 = 1 then cast(c as int) "
+        "when cast(c as int) > 4 then 2 * cast(c as int) - 9 else 2 * cast(c as int) end)) % 10 = 0"
+    )
+    number = "case when c between '0' and '9' then cast(c as int) else ascii(c) - 55 end"
+    turned = "substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4)"
+    mod97 = (
+        f"length(replace(m, ' ', '')) between 15 and 34 and list_reduce(list_transform(string_split({turned}, ''), lambda c: {number}), "
+        "lambda a, v: case when v < 10 then (a * 10 + v) % 97 else (a * 100 + v) % 97 end, 0) = 1"
+    )
+    found = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "0", "true", "true"),
+        "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "0", "true", rf"regexp_full_match(m, '{octet}(\.{octet}){{3}}')"),
+        "card": (r"[0-9](?:[\x20-]?[0-9])+", "0", f"length({digits}) between 16 and 19", luhn),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "0", "true", f"length({digits}) between 8 and 15"),
+        "iban": (
+            r"(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}",
+            "case when regexp_matches(m, '^[A-Z]') then 0 else 1 end",
+            "m is not null",
+            mod97,
+        ),
+        "ssn": (
+            r"[0-9-]+",
+            "0",
+            "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') and not regexp_matches(m, '^(000|666|9)|-00-|-0000$')",
+            "true",
+        ),
+        "secret": (
+            rf"(?i)(?:^|[^a-z]){key}{blank}{{0,3}}[=:]{blank}{{0,3}}[\"'']?[^ \t\n\x0B\f\r\"'',;]{{8,}}",
+            "case when regexp_matches(m, '^[A-Za-z]') then 0 else 1 end",
+            "true",
+            "regexp_matches(m, '[0-9]')",
+        ),
+    }
+    # An iban's match is what its greedy pattern takes from its start on, if no letter or digit follows.
+    whole = r"^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    taken = f"regexp_extract(substr(t, s + 1), '{whole}')"
+    ends = f"not regexp_matches(substr(t, s + 1 + length({taken}), 1), '[A-Za-z0-9]')"
+    ctes = ["docs as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents)"]
+    for n, kind in enumerate(KINDS):
+        pattern, before, proposed, valid = found[kind.name]
+        name, least = kind.name, 0 if kind.base else LEAST
+        match = f"case when length({taken}) > 0 and {ends} then {taken} end" if name == "iban" else "m"
+        ctes.append(
+            f"""{name}_cut as (select r, t, regexp_extract_all(t, '{pattern}') as ms, regexp_split_to_array(t, '{pattern}') as gs
+ from docs where regexp_matches(t, '{pattern}'))"""
+        )
+        ctes.append(
+            f"""{name}_raw as (select r, t, i, ms[i] as m, {before.replace("m,", "ms[i],")} as pre,
+ list_sum(list_transform(gs[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda g: length(g))), 0) as gone
+ from {name}_cut, lateral (select unnest(range(1, len(ms) + 1)) as i))"""
+        )
+        ctes.append(
+            f"""{name}_all as (select r, t, s, {match} as m from (
+ select r, t, cast(gone + pre as bigint) as s, substr(m, cast(1 + pre as bigint)) as m from {name}_raw))"""
+        )
+        ctes.append(
+            f"""{name}_old as (select r, t, s, m, s + length(m) as e,
+ coalesce(lag(s + length(m)) over (partition by r order by s), 0) as p from {name}_all where {proposed})"""
+        )
+        ctes.append(
+            f"""{name} as (select r, {n} as k, '{name}' as name, s, e, case when regexp_matches(
+  lower(right(substr(t, p + 1, s - p), {CONTEXT})), '{kind.context}') then {min(1.0, kind.score + BONUS)} else {kind.score} end as score
+ from {name}_old where {valid})"""
+        )
+        if least:
+            ctes[-1] = ctes[-1].replace(f"{name} as (", f"{name} as (select * from (", 1) + f" where score >= {least})"
+    listed = "string_agg({0}, ',' order by k, s)"
+    span = "name || ':' || s || ':' || e"
+    base = ", ".join(f"count(*) filter (name = '{k.name}') as n_{k.name}" for k in BASE)
+    zero = ", ".join(f"coalesce(n_{k.name}, 0) as n_{k.name}" for k in BASE)
+    return f"""with {", ".join(ctes)},
+every as ({" union all ".join(f"select * from {k.name}" for k in KINDS)}),
+grouped as (select r, {base}, string_agg({span}, ',' order by k, s) filter (k < {len(BASE)}) as based,
+ {listed.format(span)} as spans, {listed.format("printf('%.2f', score)")} as scores from every group by r)
+select doc_id, {zero}, sha256(coalesce(based, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(scores, '') as scores
+from docs left join grouped using (r)"""

@@ -104,6 +104,7 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_pii": pii.oracle(),
         "op3_decontamination": decontamination.oracle(),
         "op6_substrings": substrings.oracle(),
         "op10_mixing": mixing.oracle(),
