@@ -6,7 +6,7 @@ import os
 import sys
 import tempfile
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +56,7 @@ from millrace.sources import (  # noqa: E402
     added_since,
     append_version,
     as_of,
+    as_of_time,
     current_version,
     land,
     scan_full,
@@ -217,6 +218,16 @@ def q_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return as_of(spark, _log_table(spark, sf), 0)
 
 
+def q_as_of_time(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as it was between its two versions, and (no rows) before the first."""
+    path = Layout(work_dir(spark)).table("orders")
+    before = datetime.now(UTC).replace(tzinfo=None)
+    append_version(view(spark, sf, "fact_production_orders"), path, 0)
+    between = datetime.now(UTC).replace(tzinfo=None)
+    append_version(view(spark, sf, "order_changes"), path, 1)
+    return as_of_time(spark, path, between).unionByName(as_of_time(spark, path, before))
+
+
 def q_as_of_unmarked(spark: SparkSession, sf: str) -> DataFrame:
     """A version without commit record is left out, whatever its number and whatever lies in it."""
     path = Layout(work_dir(spark)).table("orders")
@@ -552,6 +563,7 @@ def table_queries() -> dict[str, Query]:
         "versions": q_versions,
         "added_since": q_added_since,
         "as_of": q_as_of,
+        "as_of_time": q_as_of_time,
         "as_of_unmarked": q_as_of_unmarked,
         "latest_by_key": q_latest_by_key,
         "latest_by_key_ties": q_latest_by_key_ties,
@@ -693,6 +705,7 @@ def oracle_sql() -> dict[str, str]:
         "versions": "select distinct _delta_version from orders_log",
         "added_since": "select * from orders_log where _delta_version > 0",
         "as_of": "select * from orders_log where _delta_version <= 0",
+        "as_of_time": "select * from orders_log where _delta_version <= 0",
         "as_of_unmarked": "select * from orders_log where _delta_version = 1",
         "latest_by_key": LATEST_ORDERS,
         "latest_by_key_ties": LATEST_LINES,

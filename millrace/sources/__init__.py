@@ -19,6 +19,7 @@ from millrace.sources.versioned import (
     added_since,
     append_version,
     as_of,
+    as_of_time,
     committed_versions,
     current_version,
     read_versions,
@@ -34,6 +35,7 @@ __all__ = [
     "added_since",
     "append_version",
     "as_of",
+    "as_of_time",
     "clean_name",
     "committed_versions",
     "current_version",

@@ -2,7 +2,7 @@
 
 Every batch, version and mart part is one directory ``{label}={n}``. It counts from the moment its
 commit record ``_committed/{label}={n}`` exists, which is written after the data and never again: the
-record holds the rows and the schema, so readers open no footer to learn them. What has no record is
+record holds the rows, the schema and the time (UTC), so readers open no footer to learn them. What has no record is
 seen by no reader and is overwritten by a retry; what has one is never touched.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from datetime import UTC, datetime
 
 from pyspark.errors import PySparkRuntimeError
 from pyspark.sql import DataFrame, SparkSession
@@ -113,7 +114,8 @@ def write_numbered(
         fs, p = _fs(spark, target)
         fs.delete(p, True)
         return 0
-    record = {"rows": rows, "schema": df.schema.json(), **extra}
+    at = datetime.now(UTC).replace(tzinfo=None).isoformat(timespec="microseconds")
+    record = {"rows": rows, "schema": df.schema.json(), "committed_at": at, **extra}
     write_json(spark, numbered(f"{path}/{COMMITS}", label, n), record)
     return rows
 

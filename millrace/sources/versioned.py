@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.checks import require_same_schema
 from millrace.operators.states import VERSION
-from millrace.sources.files import committed, committed_schema, newest, numbered, write_numbered
+from millrace.sources.files import commit, committed, committed_schema, newest, numbered, write_numbered
 
 
 def with_version(df: DataFrame, v: int) -> DataFrame:
@@ -76,6 +79,23 @@ def as_of(
     return added_since(spark, path, None, v, schema)
 
 
+def version_at(spark: SparkSession, path: str, when: datetime) -> int | None:
+    """The newest version that was committed at a time (naive UTC), or ``None`` before the first.
+
+    Versions are committed one after the other, so the records are searched by halves: a long history
+    costs a few small reads. Clocks of several writers are not compared.
+    """
+    known = committed_versions(spark, path)
+    at = bisect_right(known, when, key=lambda v: datetime.fromisoformat(commit(spark, path, VERSION, v)["committed_at"]))
+    return known[at - 1] if at else None
+
+
+def as_of_time(spark: SparkSession, path: str, when: datetime, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of the table as it was at a time (naive UTC): none before its first version."""
+    v = version_at(spark, path, when)
+    return as_of(spark, path, -1 if v is None else v, schema)
+
+
 def added_since(
     spark: SparkSession,
     path: str,

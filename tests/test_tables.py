@@ -184,3 +184,20 @@ def test_jdbc_texts():
     assert split_options(jdbc, "updated_at", None, None) == {}
     by_key = JdbcSource(partition_column="order_key", num_partitions=2)
     assert 'min("order_key") AS split_lo' in bounds_text(TableSpec("o", jdbc=by_key), "updated_at", None)
+
+
+def test_snapshot_by_time(spark, tmp_path):
+    """The version committed at a time: none before the first, the newest after the last."""
+    from datetime import UTC, datetime
+
+    from millrace.sources import as_of_time
+    from millrace.sources.versioned import version_at
+
+    path, times = str(tmp_path / "t"), []
+    for v in range(5):
+        times.append(datetime.now(UTC).replace(tzinfo=None))
+        append_version(spark.range(v + 1).toDF("id"), path, 2 * v)
+    times.append(datetime.now(UTC).replace(tzinfo=None))
+    assert [version_at(spark, path, t) for t in times] == [None, 0, 2, 4, 6, 8]
+    assert [as_of_time(spark, path, t).count() for t in times] == [0, 1, 3, 6, 10, 15]
+    assert as_of_time(spark, path, times[0]).columns == ["id", "_delta_version"]
