@@ -102,6 +102,71 @@ def test_sketches_follow_similarity():
         assert abs(np.mean(agree) - (1 + share) / 2) < 0.03
 
 
+@pytest.mark.parametrize("common, extra", [((4, 1)), ((8, 2)), ((8, 1)), ((16, 4)), ((24, 6)), ((40, 10)), ((400, 100))])
+def test_sketches_lose_no_short_sets(common, extra):
+    """Sets at 0.8 (a subset and its superset): nearly all pass the test of the sketches."""
+    rng = np.random.default_rng(common)
+    passed = 0
+    for _ in range(400):
+        whole = rng.integers(0, 2**63, common + extra).astype(np.uint64)
+        a, b = jaccard.sketch(np.unique(whole[:common])), jaccard.sketch(np.unique(whole))
+        passed += int(jaccard.agreement(a[None], b[None])[0, 0] >= jaccard.ALIKE)
+    assert passed >= 398
+
+
+def test_recall_by_number_of_shingles(spark):
+    """Pairs at 0.8 or just above, of 4 to 45 shingles; at least 0.97 of each length are linked."""
+    rng = random.Random(12)
+    docs, lengths = [], {}
+    for n in (4, 8, 12, 16, 28, 44):
+        for _ in range(150):
+            w = [f"w{rng.getrandbits(40)}" for _ in range(n + 4)]
+            more = w + [f"w{rng.getrandbits(40)}" for _ in range(n // 4)]  # n of n + n / 4 shingles are common
+            lengths.setdefault(n, []).append(len(docs))
+            docs += [(len(docs), " ".join(w)), (len(docs) + 1, " ".join(more))]
+    rows = {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    found = {n: sum(rows[i] == 1 for i in ids) / len(ids) for n, ids in lengths.items()}
+    assert min(found.values()) >= 0.97, found
+
+
+def test_large_buckets_connect_what_all_pairs_connect(monkeypatch):
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, (6, 2)).astype(np.uint64)
+    rows = []
+    for k in range(900):  # drifting chains of sketches around some bases
+        row = base[k % 6].copy() if k < 60 else rows[rng.integers(0, len(rows))].copy()
+        for bit in rng.integers(0, 128, rng.integers(0, 20)):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+        rows.append(row)
+    sketches = np.array(rows)
+    want = jaccard._grouped(sketches)
+    monkeypatch.setattr(jaccard, "SMALL", 50)
+    assert (jaccard._grouped(sketches) == want).all() and len(set(want.tolist())) > 1
+    stand = jaccard.stand_ins(sketches)
+    assert (stand[stand] == stand).all()
+    assert all(jaccard.agreement(sketches[i : i + 1], sketches[j : j + 1])[0, 0] >= jaccard.SAME for i, j in enumerate(stand))
+
+
+def test_a_chain_spread_over_batches_keeps_its_links(spark):
+    """Each text changes one more word of the one before: ends are far apart, neighbours are linked."""
+    rng = random.Random(3)
+    w = [f"w{i}" for i in range(120)]
+    docs = []
+    for k in range(300):
+        w = list(w)
+        w[rng.randrange(120)] = f"x{k}"
+        docs.append((k, " ".join(w)))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        rows = jaccard.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = sorted((r["doc_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows)
+    want = brute(docs)
+    links = lambda rows: sum(r[1] for r in rows)
+    assert all(g[1] <= x[1] for g, x in zip(got, want)) and links(got) >= 0.98 * links(want)
+
+
 def test_intersections():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 80, 40)).astype(np.uint64) for _ in range(60)]
