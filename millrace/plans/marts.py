@@ -23,7 +23,7 @@ from millrace.operators.states import (
 )
 from millrace.plans.contracts import CONTRACTS
 from millrace.plans.newest import append_index, newest_rows, read_index, replaced_rows, start_index, with_extremes
-from millrace.sources.files import commit, committed, numbered, write_numbered
+from millrace.sources.files import ATTEMPT, commit, committed, data_dirs, write_numbered
 from millrace.sources.layout import Layout
 from millrace.sources.progress import read_record, write_record
 from millrace.sources.versioned import added_since, as_of, committed_versions, current_version
@@ -167,7 +167,7 @@ def _write_part(states: DataFrame, mart: MartSpec, path: str, part: int, upto: i
 def _read_parts(spark: SparkSession, path: str, parts: list[int], schema: T.StructType) -> DataFrame:
     """Rows of committed parts, with their number and month."""
     full = T.StructType([*schema.fields, T.StructField(PART, T.IntegerType()), T.StructField(MONTH, T.StringType())])
-    return spark.read.schema(full).option("basePath", path).parquet(*[numbered(path, PART, p) for p in parts])
+    return spark.read.schema(full).option("basePath", path).parquet(*data_dirs(spark, path, PART, parts)).drop(ATTEMPT)
 
 
 def _mart_rows(df: DataFrame, mart: MartSpec) -> DataFrame:

@@ -14,7 +14,7 @@ from millrace.operators.latest import latest_by_key
 from millrace.operators.retraction import TAKE, extremes, lost
 from millrace.operators.states import VERSION, MartSpec, counted_rows, mart_keys
 from millrace.plans.contracts import CONTRACTS
-from millrace.sources.files import commit, committed, numbered, write_numbered
+from millrace.sources.files import ATTEMPT, commit, committed, data_dirs, write_numbered
 
 PART, BUCKET = "part", "bucket"
 # Rows per folder aimed at, and the most folders of a part.
@@ -41,7 +41,7 @@ def read_index(spark: SparkSession, mart: MartSpec, index: str, parts: list[int]
     keep = {CONTRACTS[mart.source].key, VERSION, "updated_at", *mart.reads}
     fields = [T.StructField(f.name, f.dataType) for f in CONTRACTS[mart.source].schema.fields if f.name in keep]
     full = T.StructType([*fields, T.StructField(PART, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())])
-    return spark.read.schema(full).option("basePath", index).parquet(*[numbered(index, PART, p) for p in parts])
+    return spark.read.schema(full).option("basePath", index).parquet(*data_dirs(spark, index, PART, parts)).drop(ATTEMPT)
 
 
 def newest_rows(rows: DataFrame, key: str) -> DataFrame:

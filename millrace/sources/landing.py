@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from millrace.operators.checks import require_same_schema
-from millrace.sources.files import commit, committed, committed_schema, numbered, write_numbered
+from millrace.sources.files import committed, commits, committed_schema, data_dirs, write_numbered
 
 SEQ = "seq"
 
@@ -33,12 +33,12 @@ def landed_schema(spark: SparkSession, path: str, seq: int) -> T.StructType:
 
 def landed_rows(spark: SparkSession, path: str, seqs: list[int]) -> int:
     """Rows of the given batches, from their commit records."""
-    return sum(commit(spark, path, SEQ, s)["rows"] for s in seqs)
+    return sum(r["rows"] for r in commits(spark, path, SEQ, seqs))
 
 
 def batches(spark: SparkSession, path: str, seqs: list[int], schema: T.StructType) -> DataFrame:
     """Rows of the given batches; no other directory is listed, no footer opened for the schema."""
-    return spark.read.schema(schema).parquet(*[numbered(path, SEQ, s) for s in seqs])
+    return spark.read.schema(schema).parquet(*data_dirs(spark, path, SEQ, seqs))
 
 
 def scan_new_files(spark: SparkSession, path: str, after: int | None = None) -> DataFrame:

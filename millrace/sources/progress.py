@@ -35,9 +35,18 @@ def record_path(path: str, number: int) -> str:
 
 
 def write_record(spark: SparkSession, path: str, number: int, **fields: object) -> None:
-    """Add a record; ``updated_at`` is the time of the run in UTC."""
+    """Add a record; ``updated_at`` is the time of the run in UTC.
+
+    A record is never replaced: writing it again with the same fields changes nothing, with others raises
+    ``FileExistsError``, as two writers then had the same number.
+    """
     now = datetime.now(UTC).replace(tzinfo=None)
-    write_json(spark, record_path(path, number), {**fields, "updated_at": now.isoformat(timespec="microseconds")})
+    try:
+        write_json(spark, record_path(path, number), {**fields, "updated_at": now.isoformat(timespec="microseconds")})
+    except FileExistsError:
+        known = read_json(spark, record_path(path, number))
+        if {k: v for k, v in known.items() if k != "updated_at"} != fields:
+            raise
 
 
 def read_record(spark: SparkSession, path: str, *needed: str) -> tuple[int, dict] | None:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.operators.checks import require_same_schema
 from millrace.operators.states import VERSION
-from millrace.sources.files import commit, committed, committed_schema, newest, numbered, write_numbered
+from millrace.sources.files import ATTEMPT, commit, committed, committed_schema, data_dirs, newest, write_numbered
 
 
 def with_version(df: DataFrame, v: int) -> DataFrame:
@@ -60,8 +60,8 @@ def _read(
     fields = (schema or table_schema(spark, path, current)).fields
     columns = [f for f in fields if f.name != VERSION]
     full = T.StructType([*columns, T.StructField(VERSION, T.LongType())])
-    dirs = [numbered(path, VERSION, v) for v in wanted or [current]]
-    rows = spark.read.schema(full).option("basePath", path).parquet(*dirs)
+    dirs = data_dirs(spark, path, VERSION, wanted or [current])
+    rows = spark.read.schema(full).option("basePath", path).parquet(*dirs).drop(ATTEMPT)
     return rows if wanted else rows.limit(0)
 
 

@@ -1,7 +1,9 @@
 """Landing batches, versioned tables and progress records."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,7 +29,9 @@ from millrace.sources import (
     write_progress,
     write_watermark,
 )
-from millrace.sources.files import numbered
+from millrace.sources import files as numbered_files
+from millrace.sources.files import _rename, committed, numbered, read_json, write_json, write_numbered
+from millrace.sources.progress import write_record
 from millrace.sources.relation import bounds_text, select_text, split_options
 
 
@@ -201,3 +205,58 @@ def test_snapshot_by_time(spark, tmp_path):
     assert [version_at(spark, path, t) for t in times] == [None, 0, 2, 4, 6, 8]
     assert [as_of_time(spark, path, t).count() for t in times] == [0, 1, 3, 6, 10, 15]
     assert as_of_time(spark, path, times[0]).columns == ["id", "_delta_version"]
+
+
+def test_two_writers_of_one_number(spark, tmp_path, monkeypatch):
+    """Both see the number free and write their data; one commits, the other raises and leaves nothing."""
+    path, both = str(tmp_path / "t"), Barrier(2)
+    write = numbered_files.write_json
+
+    def after_both(*args):
+        both.wait(60)
+        write(*args)
+
+    monkeypatch.setattr(numbered_files, "write_json", after_both)
+
+    def writer(k):
+        try:
+            return write_numbered(spark.range(k * 100, k * 100 + 10 + k), path, "n", 0)
+        except FileExistsError:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        rows = list(pool.map(writer, [0, 1]))
+    winner = rows.index(next(r for r in rows if r))
+    assert rows[1 - winner] is None
+    assert committed(spark, path, "n") == [0] and numbered_files.commit(spark, path, "n", 0)["rows"] == 10 + winner
+    assert ids(spark.read.parquet(*numbered_files.data_dirs(spark, path, "n", [0]))) == list(range(100 * winner, 100 * winner + 10 + winner))
+    assert len(os.listdir(f"{path}/n=0")) == 1 and [f for f in os.listdir(f"{path}/_committed") if not f.endswith(".crc")] == ["n=0"]
+
+
+def test_records_are_created_not_replaced(spark, tmp_path):
+    path = str(tmp_path / "state" / "1.json")
+    write_json(spark, path, {"a": 1})
+    with pytest.raises(FileExistsError):
+        write_json(spark, path, {"a": 2})
+    assert read_json(spark, path) == {"a": 1}
+    write_record(spark, str(tmp_path / "p"), 3, version=3)
+    write_record(spark, str(tmp_path / "p"), 3, version=3)  # a repeated step
+    with pytest.raises(FileExistsError):
+        write_record(spark, str(tmp_path / "p"), 3, version=4)
+
+
+def test_rename_of_other_file_systems_keeps_what_is_there(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(numbered_files, "_link", _rename)
+    path = str(tmp_path / "r" / "x")
+    write_json(spark, path, {"a": 1})
+    with pytest.raises(FileExistsError):
+        write_json(spark, path, {"a": 2})
+    assert read_json(spark, path) == {"a": 1}
+
+
+def test_a_stopped_attempt_goes_when_another_commits(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(f"{path}/n=0/_attempt=a1")
+    write_numbered(spark.range(7), path, "n", 0)
+    assert len(os.listdir(f"{path}/n=0")) == 1
+    assert ids(spark.read.parquet(*numbered_files.data_dirs(spark, path, "n", [0]))) == list(range(7))
