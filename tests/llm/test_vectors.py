@@ -73,3 +73,40 @@ def test_nothing_to_link(spark):
     assert sorted((repr(r["vec_id"]), r["n_links"], repr(r["component_id"])) for r in rows) == [
         ("1", 0, "1"), ("1", 0, "1"), ("None", 0, "None")
     ]
+
+
+def test_sketch_leaves_out_no_close_pair():
+    """Where the sketch decides and where it leaves so many that all products are taken."""
+    rng = np.random.default_rng(4)
+    for spread, least in ((1.0, 0.5), (1.0, 0.95), (0.05, 0.9), (0.2, 0.95)):
+        x = vectors.unit_rows(rng.normal(size=40) + spread * rng.normal(size=(120, 40)))
+        axes = np.linalg.qr(rng.normal(size=(40, 40)))[0]
+        pack = {"nodes_a": np.arange(120).tobytes(), "copies_a": np.ones(120, int).tobytes(), "x_a": x.tobytes()}
+        seq = vectors.Sequence(pack, axes, "a")
+        i, j = vectors.close_pairs(seq, slice(0, 70), seq, slice(50, 120), least)
+        want = np.argwhere(x @ x.T >= least)
+        assert {*zip(i, j)} == {(p, q) for p, q in want if p < 70 and q >= 50}
+
+
+def test_pairs_of_blocks_carry_no_vectors(spark, monkeypatch, tmp_path):
+    """What is shuffled for the pairs does not grow with the vectors."""
+    monkeypatch.setattr(vectors, "BLOCK", 50)
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(v) for v in rng.normal(size=64)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    joined, run = [], type(df).mapInPandas
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, *a, **b: joined.append(self) or run(self, *a, **b))
+    assert vectors.link_vectors(df).count() == 600
+    pairs = joined[-1]
+    assert pairs.count() > 60 and not {"binary", "array<long>", "array<double>"} & {kind for _, kind in pairs.dtypes}
+
+
+def test_copies_in_many_batches_are_one_class(spark):
+    rows = [(i if i % 3 else None, [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.98, 0.1, 0.0]][i % 9 // 3]) for i in range(90)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
+    try:
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+        got = {(r["n_links"], r["component_id"]) for r in vectors.link_vectors(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {(59, 1), (29, 4)}
